@@ -388,7 +388,7 @@ def paged_responses(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     shapes = {
         "members": lambda w, i: F.struct(
             _text(F.col("conv_id"), "-", F.col("turn"), "-", i).alias("id"),
-            F.upper(w).alias("name"),
+            _text("Member ", w).alias("name"),
             w.alias("url_token"),
             _text("https://img.example/", w).alias("avatar_url"),
             F.col("role").alias("headline"),
