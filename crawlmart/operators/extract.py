@@ -88,9 +88,8 @@ def html_table_rows(df: DataFrame, html: str, cols: dict[str, int], skip: int =
 
 
 def embedded_text(html: Column, element_id: str) -> Column:
-    """Unescaped text of the first ``<textarea id=… hidden="">``, null if there is none."""
-    raw = F.regexp_extract_all(html, F.lit(STATE.format(id=element_id)), F.lit(1))
-    return html_unescape(F.try_element_at(raw, F.lit(1)))
+    """Raw text of the first ``<textarea id=… hidden="">``, null if there is none."""
+    return F.nullif(F.regexp_extract(html, STATE.format(id=element_id), 1), F.lit(""))
 
 
 def embedded_json(
@@ -102,11 +101,17 @@ def embedded_json(
 ) -> DataFrame:
     """Replace the HTML by ``data``, the parsed JSON of the hidden element; ``data`` is null
     where the element is missing and ``_corrupt`` is filled where the JSON is broken."""
-    text = embedded_text(F.col(html), element_id)
-    text = repair(text) if repair else text
+    # One column per step: each is computed once however often the next one refers to it.
+    text = F.col("_text")
     marked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    parsed = F.from_json(text, marked, {"columnNameOfCorruptRecord": "_corrupt"})
-    return df.withColumn("data", parsed).drop(html)
+    parsed = F.from_json(repair(text) if repair else text, marked, {"columnNameOfCorruptRecord": "_corrupt"})
+    return (
+        df.withColumn("_raw", embedded_text(F.col(html), element_id))
+        .drop(html)
+        .withColumn("_text", html_unescape(F.col("_raw")))
+        .withColumn("data", parsed)
+        .drop("_raw", "_text")
+    )
 
 
 def repair_json_field(col: Column, start: str, end: str, value: str) -> Column:
