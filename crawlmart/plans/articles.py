@@ -36,8 +36,10 @@ def _rejects(df: DataFrame) -> DataFrame:
 
 
 def column_info(responses: DataFrame) -> DataFrame:
-    """One row per column, the first response wins."""
-    return keyed.first_write_wins(extract.flatten_column_info(responses), "slug", ["resp_seq"])
+    """One row per column, the first response wins. Written, so that its size is known when
+    posts are joined to it."""
+    info = keyed.first_write_wins(extract.flatten_column_info(responses), "slug", ["resp_seq"])
+    return runtime.materialize(info, "info")
 
 
 def store_posts(posts: DataFrame, store: Store, base: str, at: Column | str | None) -> Load:

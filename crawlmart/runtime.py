@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -62,6 +63,22 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _bytes(setting: str) -> int:
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", setting.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's size estimate for ``df`` is within the session's broadcast limit.
+
+    It is the estimate by which Spark itself chooses a broadcast join; for a table read
+    from files it comes from the size of the files.
+    """
+    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= limit
+
+
 def lookup(
     facts: DataFrame,
     dim: DataFrame,
@@ -74,11 +91,13 @@ def lookup(
     """Equi-join of ``facts`` to ``dim`` (unique on ``key``) that stays balanced when one
     key holds a large share of the facts.
 
-    Rows of hot keys are split over ``salts`` by a hash of ``spread`` (columns that differ
-    inside a key); only the at most HOT_KEYS hot dimension rows are repeated. Null keys
-    match nothing and are spread the same way. No side is hinted: Spark broadcasts ``dim``
-    by itself when its measured size allows that, and shuffles otherwise.
+    A ``dim`` within the broadcast limit is joined as it is. Beyond the limit, rows of hot
+    keys are split over ``salts`` by a hash of ``spread`` (columns that differ inside a
+    key) and only the at most HOT_KEYS hot dimension rows are repeated. Null keys match
+    nothing and are spread the same way.
     """
+    if fits_broadcast(dim):
+        return facts.join(dim, key, how)
     if hot is None:
         hot = hot_keys(facts, key)
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
@@ -88,16 +107,10 @@ def lookup(
         .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(0))
         .drop("_hot")
     )
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
     right = (
         dim.join(hot, key, "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
+        .withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
         .drop("_hot")
     )
     return left.join(right, [key, "_salt"], how).drop("_salt")
