@@ -67,23 +67,37 @@ def broken_bodies(df: DataFrame, schema: T.DataType) -> DataFrame:
 
 
 # -- HTML ------------------------------------------------------------------------------
-def html_table_rows(df: DataFrame, html: str, cols: dict[str, int], skip: int = 1) -> DataFrame:
+def layout_columns(layout: str) -> dict[str, Column]:
+    """Cell numbers of the proxy lists by the value of the layout column."""
+    return {
+        name: F.coalesce(
+            *[F.when(F.col(layout) == k, F.lit(cols[name])) for k, cols in PROXY_LAYOUTS.items()]
+        )
+        for name in ("host", "port", "protocol")
+    }
+
+
+def html_table_rows(
+    df: DataFrame, html: str, cols: dict[str, int | Column], skip: int = 1
+) -> DataFrame:
     """One row per table row after the first ``skip``; each named column is the first own
     text of that ``<td>`` (counted from 1), trimmed, or null where the cell or text is
-    missing. Closing tags may be left out; nested tables are not supported."""
-    rows = F.regexp_extract_all(html, F.lit(ROW), F.lit(1))
-    rows = F.slice(rows, F.lit(skip + 1), F.greatest(F.size(rows) - skip, F.lit(0)))
-    cells = df.select("*", F.posexplode(rows).alias("pos", "_row")).withColumn(
+    missing. Closing tags may be left out; nested tables are not supported. A cell number
+    may be a column, so pages of several layouts are read in one pass."""
+    found = df.withColumn("_rows", F.regexp_extract_all(html, F.lit(ROW), F.lit(1))).drop(html)
+    rest = F.slice("_rows", F.lit(skip + 1), F.greatest(F.size("_rows") - skip, F.lit(0)))
+    cells = found.select("*", F.posexplode(rest).alias("pos", "_row")).withColumn(
         "_cells", F.regexp_extract_all("_row", F.lit(CELL), F.lit(1))
     )
 
-    def own_text(number: int) -> Column:
-        parts = F.split(F.get("_cells", F.lit(number - 1)), CHILD, -1)
+    def own_text(number: int | Column) -> Column:
+        at = (F.lit(number) if isinstance(number, int) else number) - 1
+        parts = F.split(F.get("_cells", at), CHILD, -1)
         first = F.try_element_at(F.filter(parts, lambda p: p != ""), F.lit(1))
         return F.regexp_replace(first, r"^\s+|\s+$", "")
 
     return cells.withColumns({name: own_text(no) for name, no in cols.items()}).drop(
-        html, "_row", "_cells"
+        "_rows", "_row", "_cells"
     )
 
 
@@ -191,11 +205,12 @@ def explode_posts(df: DataFrame) -> DataFrame:
     )
 
 
-def flatten_post_state(df: DataFrame) -> DataFrame:
+def flatten_post_state(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Article row of a page state: the post with the smallest key, its author looked up in
-    the user map, the column slug and the topics. Needs ``data`` of ``embedded_json``."""
+    the user map, the column slug and the topics. Needs ``data`` of ``embedded_json``; a
+    page without a usable state gives a row of nulls. ``keep`` names columns to carry on."""
     posts = F.col("data.database.Post")
-    post = F.element_at(posts, F.array_min(F.map_keys(posts)))
+    post = F.try_element_at(posts, F.array_min(F.map_keys(posts)))
     chosen = df.withColumn("post", post).withColumn(
         "_author", F.try_element_at(F.col("data.database.User"), F.col("post.author"))
     )
@@ -207,6 +222,7 @@ def flatten_post_state(df: DataFrame) -> DataFrame:
         *_article_columns(post),
         _user_item(author, "headline", author["avatarUrl"]).alias("author"),
         post["topics"].alias("topics"),
+        *keep,
     )
 
 

@@ -26,7 +26,7 @@ def first_write_wins(df: DataFrame, key: str, seq: list[str]) -> DataFrame:
     )
 
 
-def assign_ids(new: DataFrame, existing: DataFrame, key: str, digits: int = 3) -> DataFrame:
+def assign_ids(new: DataFrame, existing: DataFrame, key: str, digits: int = 4) -> DataFrame:
     """Dense ids ``max+1, max+2, …`` for rows unique on ``key``, in order of the key's md5.
 
     Rows are numbered inside 16**digits buckets of the md5 and shifted by the sizes of the
@@ -88,11 +88,13 @@ def non_empty_key(df: DataFrame, col: str) -> DataFrame:
 
 
 def available(
-    proxies: DataFrame, checks: DataFrame, keys: list[str], max_secs: float = 2.0
+    proxies: DataFrame, checks: DataFrame, keys: list[str], seq: list[str], max_secs: float = 2.0
 ) -> DataFrame:
-    """Proxies whose test fetch returned 200 in time."""
+    """Proxies whose test fetch returned 200 in time. A proxy may be listed many times."""
     good = checks.filter((F.col("status") == 200) & (F.col("elapsed") <= max_secs))
-    return proxies.join(good.select(*keys).distinct(), keys, "left_semi")
+    good = good.select(F.struct(*keys).alias("_proxy")).distinct()
+    listed = proxies.withColumn("_proxy", F.struct(*keys))
+    return runtime.lookup(listed, good, "_proxy", seq, "left_semi").drop("_proxy")
 
 
 # -- sets ------------------------------------------------------------------------------

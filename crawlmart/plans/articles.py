@@ -84,18 +84,17 @@ def ingest_single_articles(
     states = extract.embedded_json(
         pages, "html", "preloadedState", schemas.POST_STATE, extract.repair_state
     )
-    states = runtime.materialize(states, "states")
-    usable, no_state = extract.split_rejects(states, extract.state_rejects())
-    posts = star.attach_column(extract.flatten_post_state(usable), column_info(column_responses))
-    posts = runtime.materialize(posts, "posts")
+    # Pages without a usable state are marked here and split off after the write: a filter
+    # on the parsed state would have every page parsed twice.
+    states = extract.with_reject_reason(states, extract.state_rejects())
+    posts = extract.flatten_post_state(states, keep=("reject_reason",))
+    posts = star.attach_column(posts, column_info(column_responses))
+    marked = runtime.materialize(posts, "posts")
+    no_state = marked.filter(F.col("reject_reason").isNotNull())
+    posts = marked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     load = store_posts(posts, store, base, at)
     load.articles = runtime.materialize(load.articles, "articles")
-    lost = no_state.select(
-        F.col("page_id").alias("resp_seq"), F.lit(0).alias("pos"),
-        F.lit(None).cast("string").alias("column_slug"), F.lit(None).cast("string").alias("md5"),
-        "reject_reason",
-    )
-    load.rejects = load.rejects.unionByName(lost)
+    load.rejects = load.rejects.unionByName(_rejects(no_state))
     # Tags of the stored copy of an article only.
     stored = posts.join(load.articles.select(*SEQ), SEQ, "left_semi")
     topics = runtime.materialize(extract.explode_tags(stored), "topics")
@@ -125,7 +124,9 @@ def ingest_incremental(
     posts = runtime.materialize(posts, "posts")
     kept = paging.until_first_seen(posts, store.articles)
     rows, unknown = star.require_column(kept, store.columns)
-    rows = runtime.materialize(rows.drop("belong_id"), "rows")
+    # Pages are kept or dropped whole: a narrow list of them picks the wide rows later.
+    pages = runtime.materialize(rows.select("resp_seq").distinct(), "pages")
+    rows = posts.join(pages, "resp_seq", "left_semi")
     valid, rejects = extract.split_rejects(rows, extract.post_rejects())
     # This path stores authors only, so no creators are offered.
     authors = rows.withColumn("creator", F.lit(None).cast(schemas.USER_ITEM))

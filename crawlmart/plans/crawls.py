@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from crawlmart import runtime, schemas
 from crawlmart.functions import keys
 from crawlmart.operators import extract, keyed, paging
-from crawlmart.operators.extract import SEQ, PROXY_LAYOUTS
+from crawlmart.operators.extract import SEQ
 from crawlmart.operators.frontier import expand_frontier
 
 MEMBER = "/members/([^/?]+)/"
@@ -20,8 +20,11 @@ def _fetched(users: DataFrame, responses: DataFrame, kind: str) -> DataFrame:
     """Responses on the chains that start at the users' first pages, with their user."""
     starts = paging.seed_urls(users, kind).select("url", "slug")
     reached = paging.cursor_pages(starts, extract.paging(responses))
-    owned = reached.join(starts.withColumnRenamed("url", "root"), "root").select("url", "slug")
-    return responses.join(owned.withColumnRenamed("slug", "owner"), "url")
+    # One user may own a large share of the pages, so the lookup by chain is a balanced one;
+    # the join by address is between unique keys.
+    roots = starts.select(F.col("url").alias("root"), F.col("slug").alias("owner"))
+    owned = runtime.lookup(reached, roots, "root", ["hop"], "inner").select("url", "owner")
+    return responses.join(owned, "url")
 
 
 def _owner(df: DataFrame) -> DataFrame:
@@ -47,8 +50,9 @@ def crawl_follow_graph(
     reached = expand_frontier(edges, waiting.select(F.col("slug").alias("user")))
     crawled = reached.select(F.col("user").alias("slug")).join(idle, "slug", "left_anti")
     crawled = runtime.materialize(crawled, "crawled")
-    met = pages.select("resp_seq", "owner").join(
-        crawled.withColumnRenamed("slug", "owner"), "owner", "left_semi"
+    owners = crawled.withColumnRenamed("slug", "owner")
+    met = runtime.lookup(
+        pages.select("resp_seq", "owner"), owners, "owner", ["resp_seq"], "left_semi"
     )
     met = members.join(met.select("resp_seq"), "resp_seq", "left_semi")
     fresh = keyed.insert_if_absent(users, keyed.non_empty_key(met, "slug"), "slug", SEQ)
@@ -99,15 +103,9 @@ def refresh_proxies(
     pages: DataFrame, checks: DataFrame, existing: DataFrame, at: Column | str | None = None
 ) -> DataFrame:
     """Proxy snapshot after reading the lists and keeping what passed its check."""
-    rows = None
-    for layout, cols in PROXY_LAYOUTS.items():
-        part = pages.filter(F.col("layout") == layout).select(
-            F.col("page_id").alias("resp_seq"), "html"
-        )
-        part = extract.html_table_rows(part, "html", cols)
-        rows = part if rows is None else rows.unionByName(part)
-    whole, _ = extract.split_rejects(
-        rows, {"missing_cell": F.col("host").isNull() | F.col("port").isNull() | F.col("protocol").isNull()}
-    )
-    good = keyed.available(whole, checks, ["host", "port"])
+    pages = pages.withColumnRenamed("page_id", "resp_seq")
+    rows = extract.html_table_rows(pages, "html", extract.layout_columns("layout"))
+    missing = F.col("host").isNull() | F.col("port").isNull() | F.col("protocol").isNull()
+    whole, _ = extract.split_rejects(rows, {"missing_cell": missing})
+    good = keyed.available(whole, checks, ["host", "port"], SEQ)
     return keyed.upsert_proxies(existing, runtime.materialize(good, "proxies"), SEQ, at)

@@ -100,12 +100,9 @@ def write_star(spark, sf):
 # -- extraction ------------------------------------------------------------------------
 @query
 def html_table_rows(spark, sf):
-    pages = sample.proxy_pages(spark, sf)
-    parts = [
-        extract.html_table_rows(pages.filter(F.col("layout") == layout), "html", cols)
-        for layout, cols in extract.PROXY_LAYOUTS.items()
-    ]
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    rows = extract.html_table_rows(
+        sample.proxy_pages(spark, sf), "html", extract.layout_columns("layout")
+    )
     return rows.select("page_id", "pos", "host", "port", "protocol")
 
 
@@ -137,8 +134,7 @@ def flatten_post_state(spark, sf):
     states = extract.embedded_json(
         sample.page_states(spark, sf), "html", "preloadedState", schemas.POST_STATE, extract.repair_state
     )
-    usable, _ = extract.split_rejects(runtime.materialize(states, "states"), extract.state_rejects())
-    rows = extract.flatten_post_state(usable)
+    rows = extract.flatten_post_state(states)
     return rows.select(
         F.col("resp_seq").alias("page_id"), "column_slug", "title", "content", "summary", "cover",
         "token", "md5", "link", "published", *flat("author"),
@@ -317,7 +313,9 @@ def rewrite_article_links(spark, sf):
 # -- filters ---------------------------------------------------------------------------
 @query
 def available_proxies(spark, sf):
-    rows = keyed.available(proxy_rows(spark, sf), sample.proxy_checks(spark, sf), ["host", "port"])
+    rows = keyed.available(
+        proxy_rows(spark, sf), sample.proxy_checks(spark, sf), ["host", "port"], SEQ
+    )
     return rows.select("host", "port", "protocol")
 
 

@@ -30,11 +30,11 @@ def _text(*parts: Column | str) -> Column:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the time and user of the event of the same number, and their place
     ``rn`` in their source, newest first."""
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "text", "lang", "source", "n_chars", F.floor(F.col("doc_id") / CHUNK).alias("chunk")
-    )
+    whole = table(spark, sf_dir, "documents")
+    docs = whole.select("doc_id", "source", F.floor(F.col("doc_id") / CHUNK).alias("chunk"))
     # A source may hold any share of the documents: they are ranked inside chunks of
-    # bounded size and shifted by the sizes of the newer chunks.
+    # bounded size and shifted by the sizes of the newer chunks. Only the numbers are
+    # moved for that; the texts join the ranks at the end.
     newer = Window.partitionBy("source").orderBy(F.desc("chunk")).rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -45,13 +45,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     inside = Window.partitionBy("source", "chunk").orderBy(F.desc("doc_id"))
     events = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "ts", "user_id")
-    return (
-        docs.join(events, "doc_id")
-        .withColumn("_n", F.row_number().over(inside))
+    ranked = (
+        docs.withColumn("_n", F.row_number().over(inside))
         .join(offsets, ["source", "chunk"])
-        .withColumn("rn", F.col("before") + F.col("_n"))
-        .withColumn("src_no", F.substring("source", 4, 18).cast("long"))
-        .drop("chunk", "before", "_n")
+        .select("doc_id", (F.col("before") + F.col("_n")).alias("rn"))
+        .join(events, "doc_id")
+    )
+    return whole.select("doc_id", "text", "lang", "source", "n_chars").join(ranked, "doc_id").withColumn(
+        "src_no", F.substring("source", 4, 18).cast("long")
     )
 
 

@@ -107,7 +107,7 @@ def test_sets_and_flags(spark):
     checks = spark.createDataFrame(
         [("a", 404, 1.0), ("a", 404, 1.0), ("b", 200, 2.5), ("d", 200, 2.0)], "slug string, status int, elapsed double")
     assert sorted(r.slug for r in keyed.dead_links(users, checks, "slug").collect()) == ["b", "c", "d"]
-    assert [r.slug for r in keyed.available(users, checks, ["slug"]).collect()] == ["d"]
+    assert [r.slug for r in keyed.available(users, checks, ["slug"], ["slug"]).collect()] == ["d"]
 
 
 def item(slug, name):
