@@ -102,9 +102,11 @@ def html_unescape(col: Column) -> Column:
             frequent = frequent.when(piece.startswith(name + ";"), F.concat(F.lit(text), rest))
         return frequent.otherwise(other(piece))
 
+    # The first piece stands before any "&". The pieces are named once, so cut once.
     pieces = F.split(col, "&", -1)
-    decoded = F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode), "")
-    return F.concat(F.get(pieces, F.lit(0)), decoded)
+    return F.array_join(
+        F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(decode(p))), ""
+    )
 
 
 def image_host(src: Column) -> Column:
@@ -161,5 +163,9 @@ def cover_or_first_image(cover: Column, html: Column) -> Column:
     """The cover, or the rewritten source of the first image that has one; with neither,
     the empty cover stays as it is."""
     tokens = F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0))
-    first = _value(F.try_element_at(F.filter(tokens, _is_image), F.lit(1)), SRC)
-    return F.coalesce(F.nullif(cover, F.lit("")), F.concat(image_host(first), first), cover)
+
+    def source(tag: Column) -> Column:
+        return F.concat(image_host(_value(tag, SRC)), _value(tag, SRC))
+
+    first = F.transform(F.slice(F.filter(tokens, _is_image), 1, 1), source)
+    return F.coalesce(F.nullif(cover, F.lit("")), F.try_element_at(first, F.lit(1)), cover)

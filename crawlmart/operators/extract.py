@@ -86,7 +86,8 @@ def html_table_rows(
     may be a column, so pages of several layouts are read in one pass."""
     found = df.withColumn("_rows", F.regexp_extract_all(html, F.lit(ROW), F.lit(1))).drop(html)
     rest = F.slice("_rows", F.lit(skip + 1), F.greatest(F.size("_rows") - skip, F.lit(0)))
-    cells = found.select("*", F.posexplode(rest).alias("pos", "_row")).withColumn(
+    rows = found.select("*", F.posexplode_outer(rest).alias("pos", "_row"))
+    cells = rows.filter(F.col("pos").isNotNull()).withColumn(
         "_cells", F.regexp_extract_all("_row", F.lit(CELL), F.lit(1))
     )
 
@@ -319,6 +320,9 @@ def flatten_column_info(df: DataFrame) -> DataFrame:
 
 def explode_tags(df: DataFrame) -> DataFrame:
     """(article key, tag name) for every topic of an article."""
-    return df.select("md5", "resp_seq", F.posexplode("topics").alias("pos", "topic")).select(
+    # The outer form with a filter after it: for the inner form Spark would test the array
+    # below joins as well, and so parse each page again there.
+    topics = df.select("md5", "resp_seq", F.posexplode_outer("topics").alias("pos", "topic"))
+    return topics.filter(F.col("pos").isNotNull()).select(
         "md5", "resp_seq", "pos", F.col("topic.name").alias("name")
     )
