@@ -292,7 +292,8 @@ def explode_recommendations(df: DataFrame) -> DataFrame:
 
 def paging(df: DataFrame) -> DataFrame:
     """(url, next_url) of every page that is not the last of its chain."""
-    parsed = df.select("url", F.explode(F.array(F.from_json("body", schemas.MEMBERS))).alias("b"))
+    body = F.from_json("body", schemas.PAGED)  # the items are skipped, not built
+    parsed = df.select("url", F.explode(F.array(body)).alias("b"))
     is_end = F.coalesce(F.col("b.paging.is_end"), F.lit(False))
     return parsed.filter(~is_end & F.col("b.paging.next").isNotNull()).select(
         "url", F.col("b.paging.next").alias("next_url")

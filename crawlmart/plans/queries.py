@@ -41,11 +41,12 @@ def empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def store(spark: SparkSession, sf: str) -> articles.Store:
+def store(spark: SparkSession, sf: str, known: Query = sample.stored_articles) -> articles.Store:
+    """What an earlier crawl has stored, as written tables."""
     return articles.Store(
-        sample.stored_users(spark, sf),
-        sample.stored_columns(spark, sf),
-        sample.stored_articles(spark, sf),
+        runtime.materialize(sample.stored_users(spark, sf), "users"),
+        runtime.materialize(sample.stored_columns(spark, sf), "columns"),
+        runtime.materialize(known(spark, sf), "articles"),
     )
 
 
@@ -728,8 +729,7 @@ def ingest_single_articles_tags(spark, sf):
 
 
 def _ingest_incremental(spark, sf):
-    older = store(spark, sf)
-    older.articles = sample.old_articles(spark, sf)
+    older = store(spark, sf, sample.old_articles)
     return articles.ingest_incremental(
         sample.column_queue(spark, sf), sample.column_responses(spark, sf),
         sample.post_responses(spark, sf), older, BASE, DRAWN, SEED, AT,

@@ -35,6 +35,7 @@ COLUMN_INFO = _struct(
     slug=S, name=S, description=S, postsCount=S, avatar=AVATAR, creator=CREATOR
 )
 PAGING = _struct(is_end=B, next=S)
+PAGED = _struct(paging=PAGING)
 MEMBER = _struct(id=S, name=S, url_token=S, avatar_url=S, headline=S)
 MEMBERS = _struct(paging=PAGING, data=T.ArrayType(MEMBER))
 CONTRIBUTIONS = _struct(paging=PAGING, data=T.ArrayType(_struct(column=_struct(id=S))))
