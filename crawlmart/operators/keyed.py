@@ -32,8 +32,9 @@ def assign_ids(new: DataFrame, existing: DataFrame, key: str, digits: int = 4) -
     Rows are numbered inside 16**digits buckets of the md5 and shifted by the sizes of the
     buckets before. The buckets are even whatever the keys look like, depend on data only
     (a retried task numbers alike), and the table of offsets has 16**digits rows at most.
+    The rows are written first, as they are read for the sizes and for the numbers.
     """
-    hashed = new.withColumn("_md5", F.md5(key)).withColumn(
+    hashed = runtime.materialize(new, "unnumbered").withColumn("_md5", F.md5(key)).withColumn(
         "_bucket", F.substring("_md5", 1, digits)
     )
     sizes = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
