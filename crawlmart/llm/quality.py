@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlmart.llm.common import pinned, words_of
+from crawlmart.llm.common import pinned, restored, shelved, words_of
 
 WINDOW = 5
 SYMBOLS = r"[#*$%&|<>]"
@@ -53,10 +53,11 @@ def _phrases(text: Column, rules: Rules) -> Column:
     return found
 
 
-def line_fault(line: Column, rules: Rules, phrases: Column) -> Column:
+def line_fault(line: Column, rules: Rules, phrases: Column, marks: Column) -> Column:
     """Name of the first rule that a line fails, else null. A blank line fails none.
 
-    ``phrases`` says whether the line's document holds a boilerplate phrase at all.
+    ``phrases`` and ``marks`` say whether the line's document holds a boilerplate phrase, or
+    a symbol or separator, at all: most do not, and their lines skip those rules.
     """
 
     def stutter(w: Column) -> Column:
@@ -66,14 +67,14 @@ def line_fault(line: Column, rules: Rules, phrases: Column) -> Column:
     def judged(w: Column) -> Column:
         n = F.size(w)
         long = n >= rules.min_line
-        items = F.when(line.rlike(ITEMS), _count(line, ITEMS)).otherwise(0)
+        items = F.when(marks, _count(line, ITEMS)).otherwise(0)
         return (
             F.when(n == 0, F.lit(None))
             .when(
                 (items >= rules.menu_items) & (n <= rules.menu_words * (items + 1)),
                 F.lit("navigation"),
             )
-            .when(_count(line, SYMBOLS) > rules.max_symbols * n, F.lit("punctuation"))
+            .when(marks & (_count(line, SYMBOLS) > rules.max_symbols * n), F.lit("punctuation"))
             .when(long & (_count(line, CAPITALS) > rules.max_shout * F.length(line)), F.lit("capitals"))
             .when(long & (F.size(F.array_distinct(w)) < rules.min_distinct * n) & stutter(w), F.lit("stutter"))
             .when(phrases & (n <= rules.boilerplate_words) & _phrases(line, rules), F.lit("boilerplate"))
@@ -92,14 +93,14 @@ def _repeated(df: DataFrame) -> DataFrame:
     hashes = F.when(
         F.size("words") >= WINDOW,
         F.transform(
-            F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)),
-            lambda i: F.xxhash64(F.slice("words", i, WINDOW)),
+            F.sequence(F.lit(0), F.size("words") - WINDOW),
+            lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(WINDOW)]),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
     df = pinned(df, hashes=hashes)
     ordered = F.when(
         F.size(F.array_distinct("hashes")) < F.size("hashes"),
-        F.array_sort(
+        F.sort_array(
             F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("at")))
         ),
     ).otherwise(F.array().cast("array<struct<h:bigint,at:int>>"))
@@ -110,7 +111,7 @@ def _repeated(df: DataFrame) -> DataFrame:
         after = F.get(F.col("ordered"), i + 1)["h"]
         return F.coalesce(x["h"] == before, F.lit(False)) | F.coalesce(x["h"] == after, F.lit(False))
 
-    starts = F.array_sort(F.transform(F.filter("ordered", again), lambda x: x["at"]))
+    starts = F.sort_array(F.transform(F.filter("ordered", again), lambda x: x["at"]))
 
     def covered(acc: Column, at: Column) -> Column:
         new = F.least(F.lit(WINDOW), at - acc["last"])
@@ -122,25 +123,31 @@ def _repeated(df: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """One row per document: its row (a struct), counts, base_failed, kept, lost_words (words
+    """One row per document: its columns under the names that ``shelved`` gives, counts, base_failed, kept, lost_words (words
     of failing lines) and cleaned (its text without failing lines)."""
-    text = F.coalesce(F.col("row.text"), F.lit(""))
-    df = pinned(docs.select(F.struct("*").alias("row")), words=words_of(text))
+    df, names = shelved(docs)
+    row, old = names.values(), F.col(names["text"])
+    text = F.coalesce(old, F.lit(""))
+    df = pinned(df, words=words_of(text))
     df = _repeated(df).select(
-        "row",
+        *row,
         "n_repeat_words",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.split(text, "\n").alias("raw"),
-        _phrases(text, rules).alias("phrases"),
+        F.struct(
+            F.split(text, "\n").alias("lines"),
+            _phrases(text, rules).alias("phrases"),
+            text.rlike(f"{SYMBOLS}|{ITEMS}").alias("marks"),
+        ).alias("unpinned"),
     )
-    df = pinned(df, raw_lines=F.col("raw"), has_phrases=F.col("phrases")).drop("raw", "phrases")
-    fault = lambda x: line_fault(x, rules, F.col("has_phrases"))
-    df = pinned(df, faults=F.transform("raw_lines", fault))
-    df = pinned(df, full=F.filter("raw_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    df = pinned(df, of=F.col("unpinned")).drop("unpinned")
+    fault = lambda x: line_fault(x, rules, F.col("of.phrases"), F.col("of.marks"))
+    df = pinned(df, faults=F.transform("of.lines", fault))
+    df = pinned(df, full=F.filter("of.lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     sound = F.forall("faults", lambda x: x.isNull())
-    good = F.filter("raw_lines", lambda x, i: F.get("faults", i).isNull())
-    cleaned = F.when(sound, F.col("row.text")).otherwise(F.array_join(good, "\n"))
+    good = F.filter("of.lines", lambda x, i: F.get("faults", i).isNull())
+    cleaned = F.when(sound, old).otherwise(F.array_join(good, "\n"))
     df = pinned(df, cleaned=cleaned, sound=sound)
     left = F.when(F.col("sound"), F.col("n_words")).otherwise(F.size(words_of(F.col("cleaned"))))
     df = pinned(df, lost_words=(F.col("n_words") - left).cast("long"))
@@ -149,7 +156,7 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     )
     enough = F.col("lost_words") <= rules.max_lost * F.col("n_words")
     return df.select(
-        "row",
+        *row,
         "n_words",
         "word_chars",
         _count(text, SYMBOLS).cast("long").alias("n_symbols"),
@@ -163,10 +170,5 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The kept documents with the columns of ``docs``, without their failing lines; n_chars,
-    where there is such a column, follows the text."""
-    kept = judge(docs, rules).filter("kept")
-    new = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}
-    return kept.select(
-        *[new.get(c, F.col("row").getField(c)).cast(t).alias(c) for c, t in docs.dtypes]
-    )
+    """The kept documents with the columns of ``docs``, without their failing lines."""
+    return restored(judge(docs, rules).filter("kept"), docs, F.col("cleaned"))
