@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -26,3 +26,39 @@ def pinned(df: DataFrame, **columns: Column) -> DataFrame:
     for name, column in columns.items():
         df = df.select("*", F.explode(F.array(column)).alias(name))
     return df
+
+
+def shelved(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns renamed, and their new names, so that an operator's own
+    columns clash with none."""
+    names = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def restored(df: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
+    """The columns of ``docs`` from the renamed ones, with a new text; n_chars follows it."""
+    new = {"text": text, "n_chars": F.length(text)}
+    return df.select(
+        *[
+            new.get(c, F.col(f"in_{i}")).cast(kind).alias(c)
+            for i, (c, kind) in enumerate(docs.dtypes)
+        ]
+    )
+
+
+def running(
+    df: DataFrame, group: list[str], cell: str, order: list[str], value: str, name: str
+) -> DataFrame:
+    """Adds ``name``: the sum of ``value`` over a group's rows before this one, in the order
+    of ``cell``, then ``order``. A task orders one cell, or one group's cells, never a group.
+    """
+    sums = df.groupBy(*group, cell).agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(*group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*group, cell).orderBy(*order)
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    starts = sums.select(
+        *group, cell, F.coalesce(F.sum("_sum").over(before), zero).alias("_start")
+    )
+    local = F.coalesce(F.sum(value).over(inside), zero)
+    return df.join(starts, [*group, cell]).withColumn(name, F.col("_start") + local).drop("_start")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlmart.llm import chat, quality
+from crawlmart.llm import chat, mixing, quality
 from crawlmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,11 +23,20 @@ def sha256(text: str | Column) -> Column:
     return F.sha2(text, 256)
 
 
+@query
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    placed, mixed = mixing.plan(docs)
+    return mixing.taken(placed, mixed).select(
+        "doc_id", "source", "size", "source_size", "target", "taken"
+    )
+
+
 @query
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(
-        F.col("row.doc_id").alias("doc_id"),
+        F.col("in_0").alias("doc_id"),
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "lost_words",
     )
