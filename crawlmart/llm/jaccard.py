@@ -249,7 +249,7 @@ def prefix_index(docs: DataFrame, rare: Broadcast, n_buckets: int, join: Join) -
 INDEX = ["bucket", "token", "place", "item", "grp", "size"]
 
 
-def taking_part(docs: DataFrame, filter_: Broadcast, rare: Broadcast, join: Join) -> DataFrame:
+def taking_part(docs: DataFrame, filter_: Broadcast, join: Join) -> DataFrame:
     """c, n and the shingles (48 bits each, ascending) of the sets that the filter lets
     through: all that take part in a candidate, and few others."""
 
@@ -298,7 +298,8 @@ def _near(na, nb, ia, ib, join: Join):
 
 
 def candidates(index: DataFrame, join: Join) -> DataFrame:
-    """kind 0: pairs of groups (a, b); kind 1: shingle a of a long run with group b."""
+    """kind 0: pairs of groups (a, b); kind 1: shingle a of a long run with group b, in whose
+    prefix it has this place."""
 
     def run(table: pa.Table) -> pa.Table:
         tokens, places, groups, sizes = [], [], [], []
@@ -349,11 +350,12 @@ def candidates(index: DataFrame, join: Join) -> DataFrame:
                 pa.array(kind, pa.int32()),
                 pa.array(np.append(x, token[long].view(np.int64)), pa.int64()),
                 pa.array(np.append(y, group[long]), pa.int64()),
+                pa.array(np.append(np.zeros(len(x), np.int64), place[long]), pa.int64()),
             ],
-            ["kind", "a", "b"],
+            ["kind", "a", "b", "place"],
         )
 
-    return index.groupBy("bucket").applyInArrow(run, "kind int, a long, b long")
+    return index.groupBy("bucket").applyInArrow(run, "kind int, a long, b long, place long")
 
 
 def _unique_pairs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -366,20 +368,26 @@ def _unique_pairs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def cross_pairs(runs: DataFrame, n_buckets: int, join: Join) -> DataFrame:
     """Pairs (a, b) of sets of one run that lie in different components.
 
-    ``runs``: run, c, n, root. Runs inside one component are gone before the shuffle of
-    their members.
+    ``runs``: run, c, n, place, root. Runs inside one component are gone before the shuffle
+    of their members.
     """
     mixed = runs.groupBy("run").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     left = runs.join(mixed.filter("low < high").select("run"), "run")
     left = left.withColumn("bucket", F.pmod(F.xxhash64("run"), F.lit(n_buckets)))
 
     def run(table: pa.Table) -> pa.Table:
-        names = ("run", "root", "c", "n")
-        token, root, c, n = (table.column(x).to_numpy() for x in names)
-        order = np.lexsort((c, root, token))
-        token, root, c, n = (x[order] for x in (token, root, c, n))
+        names = ("run", "root", "c", "n", "place")
+        token, root, c, n, place = (table.column(x).to_numpy() for x in names)
+        # Who cannot be linked with the smallest that fits it can be linked with none.
+        _, of = np.unique(token, return_inverse=True)
+        least = np.full(of.max(initial=-1) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(least, of, n)
+        other = np.maximum(least[of], -(-join.num * n // join.den))
+        order = np.flatnonzero(n - place >= join.overlap(n + other))
+        order = order[np.lexsort((c[order], root[order], token[order]))]
+        token, root, c, n, place = (x[order] for x in (token, root, c, n, place))
         a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        starts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])[: len(token)])
         for low, high in zip(starts, np.append(starts[1:], len(token)), strict=True):
             blocks = low + np.flatnonzero(np.append(True, root[low + 1 : high] != root[low : high - 1]))
             for x, y in zip(blocks[:-1], blocks[1:], strict=True):
@@ -387,7 +395,7 @@ def cross_pairs(runs: DataFrame, n_buckets: int, join: Join) -> DataFrame:
                 for z in range(x, y, step):  # a block against all that follow it
                     i = np.repeat(np.arange(z, min(z + step, y)), high - y)
                     j = np.tile(np.arange(y, high), min(z + step, y) - z)
-                    ok = join.den * np.minimum(n[i], n[j]) >= join.num * np.maximum(n[i], n[j])
+                    ok = _near(n[i], n[j], place[i], place[j], join)
                     p, q = c[i[ok]], c[j[ok]]
                     a, b = np.append(a, np.minimum(p, q)), np.append(b, np.maximum(p, q))
                     if len(a) > 1 << 20:
@@ -399,8 +407,10 @@ def cross_pairs(runs: DataFrame, n_buckets: int, join: Join) -> DataFrame:
 
 
 # -- verification ----------------------------------------------------------------------
-def verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     """The pairs of sets (a, b) that are linked, compared in full."""
+    bits = docs.sparkSession.sparkContext.broadcast(_filter_of(pairs))
+    sets = runtime.materialize(taking_part(docs, bits, join), "sets")
     left = sets.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -458,24 +468,23 @@ def linked_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     first = pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(
         stars.select(F.col("leader").alias("a"), F.col("c").alias("b"))
     )
-    bits = spark.sparkContext.broadcast(_filter_of(first))
-    sets = runtime.materialize(taking_part(docs, bits, rare, join), "sets")
-    links = verified(first.distinct(), sets, join)
+    links = verified(first.distinct(), docs, join)
     roots = components(links)
     # Whatever a first round cannot settle: long runs, groups of several sets, and pairs with
     # such a group.
-    runs = found.filter("kind = 1").select(F.xxhash64("a").alias("run"), F.col("b").alias("g"))
+    runs = found.filter("kind = 1").select(F.xxhash64("a").alias("run"), F.col("b").alias("g"), "place")
     wide = pairs.filter("ka > 1 or kb > 1").withColumn("run", F.xxhash64("a", "b"))
+    whole = F.lit(0).cast("long").alias("place")
     runs = (
-        runs.unionByName(wide.select("run", F.explode(F.array("a", "b")).alias("g")))
-        .unionByName(several.select(F.xxhash64("g", F.lit(1)).alias("run"), "g"))
+        runs.unionByName(wide.select("run", F.explode(F.array("a", "b")).alias("g"), whole))
+        .unionByName(several.select(F.xxhash64("g", F.lit(1)).alias("run"), "g", whole))
         .join(groups, "g")
         .join(roots.withColumnRenamed("node", "c"), "c", "left")
-        .select("run", "c", "n", F.coalesce("root", "c").alias("root"))
+        .select("run", "c", "n", "place", F.coalesce("root", "c").alias("root"))
     )
     rest = runtime.materialize(cross_pairs(runs, n_buckets, join), "rest")
     if not rest.isEmpty():
-        more = verified(rest, sets, join)
+        more = verified(rest, docs, join)
         known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = components(known.unionByName(more))
     return _labelled(members, roots)
