@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlmart.llm import chat, jaccard, mixing, packing, quality
+from crawlmart.llm import chat, jaccard, language, mixing, nearest, packing, quality
 from crawlmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,22 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    found = nearest.nearest(rows.filter("vec_id % 20 = 0"), rows, k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(language.fold("doc_id") == 1, F.lit(False))
+    docs = docs.withColumn("held_out", held)
+    model = language.train(docs.filter("not held_out"))
+    return language.predict(docs.drop("lang"), model, ["doc_id", "held_out"])
+
+
 @query
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
