@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlmart.llm import chat, jaccard, language, mixing, nearest, packing, quality
+from crawlmart.llm import chat, jaccard, language, mixing, nearest, packing, quality, secrets
 from crawlmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,21 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in secrets.BASE],
+        sha256(secrets.written("base")).alias("base_sha256"),
+        secrets.written("all").alias("spans"),
+    )
+
+
 @query
 def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
