@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlmart.llm import chat, jaccard, language, mixing, nearest, packing, quality, secrets
+from crawlmart.llm import chat, jaccard, language, mixing, nearest, packing, pages, quality, secrets
 from crawlmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_components(table(spark, sf_dir, "documents"))
