@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlmart.llm import chat, jaccard, language, mixing, nearest, packing, pages, quality, secrets
+from crawlmart.llm import chat, jaccard, language, mixing, nearest, packing, pages, pii, quality, secrets
 from crawlmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,15 @@ def op8_sequence_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query
+def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+    return found.select(
+        "doc_id", *[f"n_{k}" for k in pii.KINDS], sha256("base").alias("base_sha256"), "spans"
+    )
+
+
 @query
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
