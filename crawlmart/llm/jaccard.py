@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from crawlmart import runtime
 from crawlmart.llm import hashing
+from crawlmart.llm.common import shelved
 from crawlmart.llm.graph import components
 
 SKETCH = 1 << 21  # counters of the order of rarity
@@ -39,6 +40,7 @@ PART = 1 << 15  # counters that travel together
 BUCKET = 1 << 19  # prefix shingles in one bucket, about
 SMALL = 8  # a run of so many groups gives all its pairs
 BITS = 1 << 24  # of the filter on sets that take part in a candidate
+CLASSES = 512  # of shingles, counted for each set that takes part in a candidate
 SEEN = 500_000  # sets that a task remembers, so as not to send them again
 LOW48 = np.uint64((1 << 48) - 1)
 
@@ -250,13 +252,14 @@ INDEX = ["bucket", "token", "place", "item", "grp", "size"]
 
 
 def taking_part(docs: DataFrame, filter_: Broadcast, join: Join) -> DataFrame:
-    """c, n and the shingles (48 bits each, ascending) of the sets that the filter lets
-    through: all that take part in a candidate, and few others."""
+    """c, n, the shingles (48 bits each, ascending) and the number of shingles in each of
+    CLASSES classes (a byte each, 255 for more) of the sets that the filter lets through: all
+    that take part in a candidate, and few others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = filter_.value, set()
         for batch in batches:
-            c, n, raw = [], [], []
+            c, n, raw, counts = [], [], [], []
             for found in shingle_sets(batch.column("text").fill_null(""), join.words):
                 hashes = np.unique(found)
                 if not len(hashes):
@@ -271,12 +274,16 @@ def taking_part(docs: DataFrame, filter_: Broadcast, join: Join) -> DataFrame:
                 c.append(known)
                 n.append(len(hashes))
                 raw.append(_packed(np.unique(hashes & LOW48)))
-            columns = [pa.array(c, pa.int64()), pa.array(n, pa.int64()), pa.array(raw, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["c", "n", "shingles"])
-
-    schema = "c long, n long, shingles binary"
+                of = (hashes >> np.uint64(20)) % np.uint64(CLASSES)
+                count = np.bincount(of.astype(np.int64), minlength=CLASSES)
+                counts.append(np.minimum(count, 255).astype(np.uint8).tobytes())
+            columns = [pa.array(x, pa.int64()) for x in (c, n)]
+            columns += [pa.array(x, pa.binary()) for x in (raw, counts)]
+            yield pa.RecordBatch.from_arrays(columns, ["c", "n", "shingles", "counts"])
+
+    schema = "c long, n long, shingles binary, counts binary"
     sent = docs.select("text").mapInArrow(run, schema)
-    return sent.groupBy("c").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+    return sent.groupBy("c").agg(*[F.first(x).alias(x) for x in ("n", "shingles", "counts")])
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -408,27 +415,53 @@ def cross_pairs(runs: DataFrame, n_buckets: int, join: Join) -> DataFrame:
 
 # -- verification ----------------------------------------------------------------------
 def verified(pairs: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
-    """The pairs of sets (a, b) that are linked, compared in full."""
+    """The pairs of sets (a, b) that are linked, compared in full.
+
+    First by the numbers of shingles in each class: the smaller ones add up to no less than
+    what two sets share. Only pairs that this leaves move with their shingles."""
     bits = docs.sparkSession.sparkContext.broadcast(_filter_of(pairs))
     sets = runtime.materialize(taking_part(docs, bits, join), "sets")
-    left = sets.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def both(pairs: DataFrame, what: str) -> DataFrame:
+        for x in ("a", "b"):
+            own = sets.select(
+                F.col("c").alias(x), F.col("n").alias("n" + x), F.col(what).alias("s" + x)
+            )
+            pairs = pairs.join(own, x)
+        return pairs.select("a", "b", "na", "nb", "sa", "sb")
+
+    def kept(batch: pa.RecordBatch, keep: np.ndarray) -> pa.RecordBatch:
+        ids = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"])
+        return ids.filter(pa.array(keep, pa.bool_()))
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            x, y = (_matrix(batch.column(s)) for s in ("sa", "sb"))
+            least = np.minimum(x, y)
+            shared = np.where((least == 255).any(axis=1), na, least.sum(axis=1, dtype=np.int64))
+            yield kept(batch, shared >= join.overlap(na + nb))
+
+    def certain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             columns = (batch.column(x) for x in ("na", "nb", "sa", "sb"))
             for na, nb, sa, sb in zip(*columns, strict=True):
-                x, y = _unpacked(sa.as_py()), _unpacked(sb.as_py())
-                both_sorted = np.sort(np.concatenate((x, y)), kind="stable")
-                same = int(np.count_nonzero(both_sorted[1:] == both_sorted[:-1]))
+                merged = np.concatenate((_unpacked(sa.as_py()), _unpacked(sb.as_py())))
+                merged.sort(kind="stable")
+                same = int(np.count_nonzero(merged[1:] == merged[:-1]))
                 keep.append(same >= join.overlap(na.as_py() + nb.as_py()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b")], ["a", "b"]
-            ).filter(pa.array(keep, pa.bool_()))
+            yield kept(batch, np.array(keep, bool))
+
+    schema = "a long, b long"
+    left = runtime.materialize(both(pairs, "counts").mapInArrow(possible, schema), "possible")
+    return both(left, "shingles").mapInArrow(certain, schema)
 
-    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """A column of byte strings of one length, a row each."""
+    raw = b"".join(x.as_py() for x in column)
+    return np.frombuffer(raw, np.uint8).reshape(len(column), -1 if raw else 0)
 
 
 def _filter_of(pairs: DataFrame) -> bytes:
@@ -501,3 +534,20 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     )
     some = members.filter("n > 0").join(sets, "c")
     return some.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(none)
+
+
+def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest doc_id (null
+    first), of equal ids the one with the smallest hash of its row. Equal rows count once.
+
+    Texts are shuffled once, by the hash of the row."""
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    hashed, names = shelved(docs)
+    hashed = hashed.withColumn("hash", F.xxhash64(*[names[c] for c in plain]))
+    ids = F.struct(F.col(names["doc_id"]).alias("id"), "hash")
+    rows = hashed.select(ids.alias("doc_id"), F.col(names["text"]).alias("text"))
+    found = linked_components(rows, join)
+    first = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id.hash")
+    kept = hashed.join(first.distinct(), "hash", "left_semi")
+    kept = kept.groupBy("hash").agg(*[F.first(c).alias(c) for c in names.values()])
+    return kept.select(*[F.col(names[c]).alias(c) for c in docs.columns])
