@@ -1,22 +1,52 @@
-"""The corpus pipeline: quality rules first; further stages follow as they are built."""
+"""The corpus pipeline: documents in, packed training sequences out."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from crawlmart import runtime
-from crawlmart.llm import quality
+from crawlmart.llm import jaccard, mixing, packing, pii, quality
+from crawlmart.llm.queries import tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go; the others lose their failing lines."""
     return quality.clean(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents stays."""
+    return jaccard.one_of_each(docs)
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data becomes the name of its kind."""
+    return pii.redact(docs, pii.train(docs))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document once for each time the mix takes it; a cut one keeps its first words."""
+    return mixing.mixed_documents(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in the packed sequences."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("private_data", private_data),
+    ("source_mix", source_mix),
+    ("sequences", sequences),
+]
+# Tokens, hashes and components are beyond SQL; tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = runtime.materialize(stage(spark, docs, sf_dir), name)
