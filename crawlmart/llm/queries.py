@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from crawlmart.llm import chat, jaccard, language, mixing, nearest, packing, pages, pii, quality, secrets
 from crawlmart.llm.common import table
+from crawlmart.llm.oracles import ORACLES as ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,6 +128,3 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "valid",
         "complete",
     )
-
-
-ORACLES: dict[str, str] = {}
