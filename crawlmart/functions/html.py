@@ -1,7 +1,8 @@
 """HTML column functions: entities, images and links.
 
-Text is cut at the tokens of interest, the tokens are changed, and the parts are joined
-again, so each function is one linear pass over the whole text inside the JVM.
+Text is cut at the tokens of interest (once for what lies between them, once for them), the
+tokens are changed, each by its attributes, and the parts are joined again: linear in the
+text, inside the JVM, without recursion.
 
 Accepted grammar: tags and attribute names in any case; attribute values in double or
 single quotes or bare; attributes in any order. Comments, scripts and styles are skipped.
@@ -24,7 +25,10 @@ ARTICLE_PATH = "/article/"
 ENTITY = "^(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
 XML_NAMES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
 
-IN_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+# A quote opens a value only behind an equals sign; elsewhere, and if it is never closed, it
+# is a character like others. Every loop is possessive over plain characters or over whole
+# attributes, so a match needs no stack however long a tag is.
+IN_TAG = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
 TOKEN = (
     r"(?is)<(?:!--.*?--|script\b.*?</script\s*+|style\b.*?</style\s*+"
     rf"|img\b{IN_TAG}|a\b{IN_TAG})>"
@@ -33,18 +37,11 @@ IMG_TAG = r"(?is)^<img\b"
 LINK_TAG = r"(?is)^<a\b"
 
 
-def _attribute(name: str) -> str:
-    # Groups: text up to the value, double-quoted, single-quoted and bare value.
-    # Quoted values of other attributes are stepped over, so a name inside one is no match.
-    other = r"""(?:[^>"']|"[^"]*+"|'[^']*+')*?"""
-    return (
-        rf"""(?is)^(<[a-z]++{other}\s{name}\s*+=\s*+)"""
-        rf"""(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))"""
-    )
-
-
-SRC = _attribute("src")
-HREF = _attribute("href")
+# Groups: name, text up to the value, double-quoted, single-quoted and bare value.
+ATTRIBUTE = (
+    r"""(?s)(?:(?<=[\s/])|\G)(([^\s=>/]++)\s*+=\s*+)"""
+    r"""(?:"([^"]*+)"|'([^']*+)'|([^\s>]++))"""
+)
 
 
 def _map_tokens(text: Column, change: Callable[[Column], Column]) -> Column:
@@ -56,18 +53,50 @@ def _map_tokens(text: Column, change: Callable[[Column], Column]) -> Column:
     return F.array_join(joined, "")
 
 
-def _value(tag: Column, pattern: str) -> Column:
-    return F.concat(*[F.regexp_extract(tag, pattern, g) for g in (2, 3, 4)])
+def _attributes(tag: Column) -> Column:
+    """The attributes with a value, in order, each as written."""
+    return F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0))
+
+
+def _place(attributes: Column, name: str) -> Column:
+    """Index of the first attribute of that name; -1 if there is none."""
+    names = F.transform(attributes, lambda a: F.lower(F.regexp_extract(a, ATTRIBUTE, 2)))
+    return F.array_position(names, F.lit(name)).cast("int") - 1
+
+
+def _value(attribute: Column) -> Column:
+    return F.concat(*[F.regexp_extract(attribute, ATTRIBUTE, g) for g in (3, 4, 5)])
+
 
+def _bound(column: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a column that is computed once, as the element of a lambda."""
+    return F.element_at(F.transform(F.array(column), use), 1)
 
-def _has(tag: Column, pattern: str) -> Column:
-    return F.regexp_extract(tag, pattern, 1) != ""
 
+def _changed(tag: Column, name: str, change: Callable[[Column], Column]) -> Column:
+    """The tag with another value of an attribute. It stays as it is without the attribute,
+    with an empty one, and where ``change`` gives null."""
 
-def _with_value(tag: Column, pattern: str, value: Column) -> Column:
-    head = F.regexp_extract(tag, pattern, 1)
-    rest = F.substring(tag, F.length(F.regexp_extract(tag, pattern, 0)) + 1, F.length(tag))
-    return F.concat(head, F.lit('"'), value, F.lit('"'), rest)
+    def rebuilt(attributes: Column) -> Column:
+        def at(i: Column) -> Column:
+            def put(value: Column) -> Column:
+                def one(a: Column, j: Column) -> Column:
+                    head = F.regexp_extract(a, ATTRIBUTE, 1)
+                    return F.when(j == i, F.concat(head, F.lit('"'), value, F.lit('"'))).otherwise(a)
+
+                parts = F.zip_with(
+                    F.split(tag, ATTRIBUTE, -1),
+                    F.transform(attributes, one),
+                    lambda gap, a: F.concat(gap, F.coalesce(a, F.lit(""))),
+                )
+                return F.when(value.isNull(), tag).otherwise(F.array_join(parts, ""))
+
+            old = F.nullif(_value(F.get(attributes, i)), F.lit(""))
+            return F.when(i >= 0, _bound(_bound(old, change), put)).otherwise(tag)
+
+        return _bound(_place(attributes, name), at)
+
+    return _bound(_attributes(tag), rebuilt)
 
 
 def html_unescape(col: Column) -> Column:
@@ -116,45 +145,35 @@ def image_host(src: Column) -> Column:
 
 
 def _rewrite_image(tag: Column) -> Column:
-    src = _value(tag, SRC)
-    return _with_value(tag, SRC, F.concat(image_host(src), src))
-
-
-def _post_number(tag: Column) -> Column:
-    return F.regexp_extract(_value(tag, HREF), POST_PATH, 1)
+    return _changed(tag, "src", lambda src: F.concat(image_host(src), src))
 
 
 def _rewrite_link(tag: Column, base: str) -> Column:
-    target = F.concat(F.lit(base + ARTICLE_PATH), _post_number(tag), F.lit("/"))
-    return _with_value(tag, HREF, target)
-
-
-def _is_image(tag: Column) -> Column:
-    return tag.rlike(IMG_TAG) & _has(tag, SRC)
-
+    def target(href: Column) -> Column:
+        number = F.nullif(F.regexp_extract(href, POST_PATH, 1), F.lit(""))
+        return F.concat(F.lit(base + ARTICLE_PATH), number, F.lit("/"))
 
-def _is_post_link(tag: Column) -> Column:
-    return tag.rlike(LINK_TAG) & (_post_number(tag) != "")
+    return _changed(tag, "href", target)
 
 
 def rewrite_images(col: Column) -> Column:
     """Prefix the source of every image with an image host; images without a source stay."""
-    return _map_tokens(col, lambda t: F.when(_is_image(t), _rewrite_image(t)).otherwise(t))
+    return _map_tokens(col, lambda t: F.when(t.rlike(IMG_TAG), _rewrite_image(t)).otherwise(t))
 
 
 def rewrite_article_links(col: Column, base: str) -> Column:
     """Point links that hold ``/p/<digits>`` to ``<base>/article/<digits>/``."""
     return _map_tokens(
-        col, lambda t: F.when(_is_post_link(t), _rewrite_link(t, base)).otherwise(t)
+        col, lambda t: F.when(t.rlike(LINK_TAG), _rewrite_link(t, base)).otherwise(t)
     )
 
 
 def rewrite_article(col: Column, base: str) -> Column:
-    """Both rewrites in one pass over the text."""
+    """Both rewrites in one go."""
     return _map_tokens(
         col,
-        lambda t: F.when(_is_image(t), _rewrite_image(t))
-        .when(_is_post_link(t), _rewrite_link(t, base))
+        lambda t: F.when(t.rlike(IMG_TAG), _rewrite_image(t))
+        .when(t.rlike(LINK_TAG), _rewrite_link(t, base))
         .otherwise(t),
     )
 
@@ -162,10 +181,12 @@ def rewrite_article(col: Column, base: str) -> Column:
 def cover_or_first_image(cover: Column, html: Column) -> Column:
     """The cover, or the rewritten source of the first image that has one; with neither,
     the empty cover stays as it is."""
-    tokens = F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0))
+    tokens = F.filter(F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0)), lambda t: t.rlike(IMG_TAG))
 
     def source(tag: Column) -> Column:
-        return F.concat(image_host(_value(tag, SRC)), _value(tag, SRC))
+        value = _bound(_attributes(tag), lambda a: _value(F.get(a, _place(a, "src"))))
+        return F.nullif(value, F.lit(""))
 
-    first = F.transform(F.slice(F.filter(tokens, _is_image), 1, 1), source)
-    return F.coalesce(F.nullif(cover, F.lit("")), F.try_element_at(first, F.lit(1)), cover)
+    found = F.filter(F.transform(tokens, source), lambda v: v.isNotNull())
+    first = _bound(F.try_element_at(found, F.lit(1)), lambda v: F.concat(image_host(v), v))
+    return F.coalesce(F.nullif(cover, F.lit("")), first, cover)

@@ -190,20 +190,49 @@ def post_columns(post: Column) -> list[Column]:
     return [*_article_columns(post), author.alias("author")]
 
 
-def explode_posts(df: DataFrame) -> DataFrame:
-    """Article rows of JSON lists of posts, with the nested author."""
-    return df.select(
+def explode_posts(df: DataFrame, broken: bool = False) -> DataFrame:
+    """Article rows of JSON lists of posts, with the nested author.
+
+    With ``broken``, a body that does not parse gives one row without a post and with a
+    ``reject_reason``, from the same parse."""
+    place = [
         "resp_seq",
         keys.column_from_api_url(F.col("url")).alias("column_slug"),
         keys.offset_from_url(F.col("url")).alias("offset"),
-        F.posexplode(F.from_json("body", schemas.POSTS)).alias("pos", "post"),
-    ).select(
+    ]
+    body = F.from_json("body", schemas.POSTS)
+    if not broken:
+        rows = df.select(*place, F.posexplode(body).alias("pos", "post"))
+        return rows.select("resp_seq", "pos", *["column_slug", "offset"], *post_columns(F.col("post")))
+    rows = _with_broken(df.select(*place, F.explode(F.array(body)).alias("rows")), "post")
+    return rows.select(
+        "resp_seq", "pos", "column_slug", "offset", *post_columns(F.col("post")), "reject_reason"
+    )
+
+
+def _with_broken(parsed: DataFrame, name: str) -> DataFrame:
+    """Takes ``rows`` apart; a null array gives one row with its reason, an empty one none."""
+    reason = F.when(F.col("rows").isNull(), F.lit("broken_body")).alias("reject_reason")
+    rows = parsed.select(
+        *[c for c in parsed.columns if c != "rows"], reason, F.posexplode_outer("rows").alias("pos", name)
+    )
+    return rows.filter(F.col("pos").isNotNull() | F.col("reject_reason").isNotNull())
+
+
+def post_keys(df: DataFrame) -> DataFrame:
+    """Keys of the posts of each page, without their contents; a broken page has one row with
+    its reason."""
+    body = F.from_json("body", T.ArrayType(T.StructType([T.StructField("slug", T.StringType())])))
+    parsed = df.select(
         "resp_seq",
-        "pos",
-        "column_slug",
-        "offset",
-        *post_columns(F.col("post")),
+        keys.column_from_api_url(F.col("url")).alias("column_slug"),
+        keys.offset_from_url(F.col("url")).alias("offset"),
+        F.explode(F.array(body)).alias("rows"),
     )
+    return _with_broken(parsed, "post").select(
+        "resp_seq", "pos", "column_slug", "offset",
+        keys.md5_key(F.col("post.slug")).alias("md5"), "reject_reason",
+    )
 
 
 def flatten_post_state(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -300,6 +329,37 @@ def paging(df: DataFrame) -> DataFrame:
     )
 
 
+def page_ends(df: DataFrame) -> DataFrame:
+    """url of every whole page that is the last of its chain."""
+    corrupt = T.StructField("_corrupt", T.StringType())
+    body = F.from_json(
+        "body",
+        T.StructType([*schemas.PAGED.fields, corrupt]),
+        {"columnNameOfCorruptRecord": "_corrupt"},
+    )
+    parsed = df.select("url", F.explode(F.array(body)).alias("b"))
+    whole = F.col("b").isNotNull() & F.col("b._corrupt").isNull()
+    is_end = F.coalesce(F.col("b.paging.is_end"), F.lit(False)) | F.col("b.paging.next").isNull()
+    return parsed.filter(whole & is_end).select("url").distinct()
+
+
+def column_rejects(df: DataFrame) -> DataFrame:
+    """Responses about columns that give no column: broken, or without a slug."""
+    corrupt = T.StructField("_corrupt", T.StringType())
+    body = F.from_json(
+        "body",
+        T.StructType([*schemas.COLUMN_INFO.fields, corrupt]),
+        {"columnNameOfCorruptRecord": "_corrupt"},
+    )
+    parsed = df.select("resp_seq", F.explode(F.array(body)).alias("b"))
+    reasons = {
+        "broken_body": F.col("b").isNull() | F.col("b._corrupt").isNotNull(),
+        "no_key": F.col("b.slug").isNull(),
+    }
+    rejects = with_reject_reason(parsed, reasons).filter(F.col("reject_reason").isNotNull())
+    return rejects.select("resp_seq", "reject_reason")
+
+
 def flatten_column_info(df: DataFrame) -> DataFrame:
     """Column row with its creator (null if it has none) and its number of posts."""
     parsed = df.select(

@@ -129,8 +129,15 @@ def discoverable(columns: DataFrame, known: DataFrame) -> DataFrame:
 def insert_if_absent(
     existing: DataFrame, incoming: DataFrame, key: str, seq: list[str]
 ) -> DataFrame:
-    """The rows to insert: first of their key, and the key not in the store."""
-    return first_write_wins(incoming, key, seq).join(existing.select(key), key, "left_anti")
+    """The rows to insert: first of their key, and the key not in the store. A row without a
+    key can be told from no other, so it is not inserted; ``without_key`` gives those."""
+    named = incoming.filter(F.col(key).isNotNull())
+    return first_write_wins(named, key, seq).join(existing.select(key), key, "left_anti")
+
+
+def without_key(incoming: DataFrame, key: str) -> DataFrame:
+    """The rows that ``insert_if_absent`` cannot take, with their reason."""
+    return incoming.filter(F.col(key).isNull()).withColumn("reject_reason", F.lit("no_key"))
 
 
 def flag_new(existing: DataFrame, incoming: DataFrame, key: str, seq: list[str]) -> DataFrame:

@@ -92,8 +92,8 @@ def random_plan(starts: DataFrame, key: str, n: int = 10, seed: int = 0) -> Data
 def cursor_pages(starts: DataFrame, links: DataFrame) -> DataFrame:
     """(root, url, hop) of every page reached from a start by following ``next_url``.
 
-    ``starts`` has ``url``; ``links`` has ``url`` (unique) and ``next_url``. Chains are
-    followed by doubling: each round joins the pages reached so far to a table of jumps
+    ``starts`` has ``url``; ``links`` has ``url`` and ``next_url``. Of a page that was
+    fetched several times one link counts, the smallest. Chains are followed by doubling: each round joins the pages reached so far to a table of jumps
     twice as long, so a chain of a million pages takes twenty rounds. A chain that runs
     into itself ends there.
     """
@@ -101,7 +101,8 @@ def cursor_pages(starts: DataFrame, links: DataFrame) -> DataFrame:
         starts.select(F.col("url").alias("root"), "url", F.lit(0).cast("long").alias("hop")).distinct(),
         "pages",
     )
-    jumps = runtime.materialize(links.select("url", "next_url"), "jumps")
+    links = links.groupBy("url").agg(F.min("next_url").alias("next_url"))
+    jumps = runtime.materialize(links.filter(F.col("next_url").isNotNull()), "jumps")
     step = 1
     while True:
         onward = runtime.lookup(reached, jumps, "url", ["root", "hop"], "inner")

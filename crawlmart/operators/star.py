@@ -15,14 +15,15 @@ ROLE = "role"
 USER_FIELDS = schemas.USER_ITEM.fieldNames()
 
 
-def attach_column(posts: DataFrame, info: DataFrame) -> DataFrame:
+def attach_column(posts: DataFrame, info: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Every post with its ``column`` and ``creator``; without a column or a creator the
-    author counts as the creator."""
+    author counts as the creator. ``hot`` names the busy columns, if they are known without
+    reading the posts."""
     fields = [F.col(name) for name in schemas.COLUMN_ITEM.fieldNames()]
     dim = info.select(
         F.col("slug").alias("column_slug"), F.struct(*fields).alias("column"), "creator"
     )
-    joined = lookup(posts, dim, "column_slug", SEQ)
+    joined = lookup(posts, dim, "column_slug", SEQ, hot=hot)
     return joined.withColumn("creator", F.coalesce("creator", "author"))
 
 
@@ -116,11 +117,12 @@ def article_rows(
 
 
 def require_column(posts: DataFrame, columns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(posts of known columns with belong_id, posts of unknown columns)."""
+    """(posts of known columns with belong_id, posts of unknown columns), from one join."""
     dim = columns.select(F.col("slug").alias("column_slug"), F.col("id").alias("belong_id"))
-    rows = lookup(posts, dim, "column_slug", SEQ, "inner")
-    missing = lookup(posts, dim.select("column_slug"), "column_slug", SEQ, "left_anti")
-    return rows, missing.withColumn("reject_reason", F.lit("unknown_column"))
+    rows = lookup(posts, dim, "column_slug", SEQ)
+    missing = rows.filter(F.col("belong_id").isNull()).drop("belong_id")
+    known = rows.filter(F.col("belong_id").isNotNull())
+    return known, missing.withColumn("reject_reason", F.lit("unknown_column"))
 
 
 def new_tags(tag_rows: DataFrame, tags: DataFrame, at: Column | str | None = None) -> DataFrame:

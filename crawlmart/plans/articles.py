@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlmart import runtime, schemas
+from crawlmart.functions import keys
 from crawlmart.operators import extract, keyed, paging, star, summaries
 from crawlmart.operators.extract import SEQ
 
@@ -29,6 +30,7 @@ class Load:
     columns: DataFrame
     articles: DataFrame
     rejects: DataFrame
+    queue: DataFrame | None = None  # what is left of it, where a load draws from one
 
 
 def _rejects(df: DataFrame) -> DataFrame:
@@ -53,7 +55,30 @@ def store_posts(posts: DataFrame, store: Store, base: str, at: Column | str | No
     articles = star.article_rows(
         valid, store.articles, all_users, store.columns.unionByName(columns), base
     )
-    return Load(users, columns, articles, _rejects(rejects))
+    # Written: what is new must not change when the store does.
+    return Load(users, columns, runtime.materialize(articles, "articles"), _rejects(rejects))
+
+
+def _broken_columns(responses: DataFrame) -> DataFrame:
+    none = F.lit(None).cast("string")
+    return extract.column_rejects(responses).select(
+        "resp_seq", F.lit(None).cast("int").alias("pos"), none.alias("column_slug"),
+        none.alias("md5"), "reject_reason",
+    )
+
+
+def _split_broken(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(posts, rejects) of a written table of both."""
+    rows = posts.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    return rows, _rejects(posts.filter(F.col("reject_reason").isNotNull()))
+
+
+def _busy_columns(post_responses: DataFrame) -> DataFrame:
+    """Columns with very many posts, from the addresses of their pages."""
+    slug = keys.column_from_api_url(F.col("url")).alias("column_slug")
+    return runtime.hot_keys(
+        post_responses.select(slug), "column_slug", runtime.ROWS_PER_TASK // paging.PAGE_STEP
+    )
 
 
 def ingest_articles(
@@ -63,12 +88,18 @@ def ingest_articles(
     base: str,
     at: Column | str | None = None,
 ) -> Load:
-    """Full load of the fetched pages of columns."""
+    """Full load of the fetched pages of columns. Every post is new, known or a reject; a body
+    that does not parse is one reject."""
     posts = star.attach_column(
-        extract.explode_posts(post_responses), column_info(column_responses)
+        extract.explode_posts(post_responses, broken=True),
+        column_info(column_responses),
+        _busy_columns(post_responses),
     )
     posts = runtime.materialize(star.prefer_creator_profile(posts), "posts")
-    return store_posts(posts, store, base, at)
+    posts, broken = _split_broken(posts)
+    load = store_posts(posts, store, base, at)
+    load.rejects = load.rejects.unionByName(broken).unionByName(_broken_columns(column_responses))
+    return load
 
 
 def ingest_single_articles(
@@ -88,13 +119,17 @@ def ingest_single_articles(
     # on the parsed state would have every page parsed twice.
     states = extract.with_reject_reason(states, extract.state_rejects())
     posts = extract.flatten_post_state(states, keep=("reject_reason",))
-    posts = star.attach_column(posts, column_info(column_responses))
+    info = column_info(column_responses)
+    if not runtime.fits_broadcast(info):  # the lookup reads the posts more than once
+        posts = runtime.materialize(posts, "states")
+    posts = star.attach_column(posts, info)
     marked = runtime.materialize(posts, "posts")
     no_state = marked.filter(F.col("reject_reason").isNotNull())
     posts = marked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     load = store_posts(posts, store, base, at)
-    load.articles = runtime.materialize(load.articles, "articles")
-    load.rejects = load.rejects.unionByName(_rejects(no_state))
+    load.rejects = load.rejects.unionByName(_rejects(no_state)).unionByName(
+        _broken_columns(column_responses)
+    )
     # Tags of the stored copy of an article only.
     stored = posts.join(load.articles.select(*SEQ), SEQ, "left_semi")
     topics = runtime.materialize(extract.explode_tags(stored), "topics")
@@ -114,19 +149,23 @@ def ingest_incremental(
     at: Column | str | None = None,
 ) -> Load:
     """Load of ``n`` columns drawn from the queue, each up to the page with the first known
-    article. Unknown columns are rejected; last_update_time is raised."""
+    article. Unknown columns are rejected; last_update_time is raised; ``queue`` is what is
+    left of it. Keys alone decide which pages count; only those are parsed in full."""
     popped, _ = keyed.pop_random(queue, n, seed)
+    popped = runtime.materialize(popped, "popped")
+    left = queue.join(popped.select("slug"), "slug", "left_anti")
     info = column_info(column_responses).join(popped, "slug", "left_semi")
     planned = paging.offset_plan(info).select("url")
-    posts = extract.explode_posts(post_responses.join(planned, "url", "left_semi"))
-    posts = posts.withColumn("page", F.floor(F.col("offset") / paging.PAGE_STEP))
-    posts = star.prefer_creator_profile(star.attach_column(posts, info))
-    posts = runtime.materialize(posts, "posts")
-    kept = paging.until_first_seen(posts, store.articles)
-    rows, unknown = star.require_column(kept, store.columns)
-    # Pages are kept or dropped whole: a narrow list of them picks the wide rows later.
-    pages = runtime.materialize(rows.select("resp_seq").distinct(), "pages")
-    rows = posts.join(pages, "resp_seq", "left_semi")
+    fetched = post_responses.join(planned, "url", "left_semi")
+    found = runtime.materialize(extract.post_keys(fetched), "keys")
+    found, broken = _split_broken(found)
+    found = found.withColumn("page", F.floor(F.col("offset") / paging.PAGE_STEP))
+    kept = runtime.materialize(paging.until_first_seen(found, store.articles), "kept")
+    known, unknown = star.require_column(kept, store.columns)
+    pages = runtime.materialize(known.select("resp_seq").distinct(), "pages")
+    rows = extract.explode_posts(post_responses.join(pages, "resp_seq", "left_semi"))
+    rows = star.prefer_creator_profile(star.attach_column(rows, info, _busy_columns(fetched)))
+    rows = runtime.materialize(rows, "posts")
     valid, rejects = extract.split_rejects(rows, extract.post_rejects())
     # This path stores authors only, so no creators are offered.
     authors = rows.withColumn("creator", F.lit(None).cast(schemas.USER_ITEM))
@@ -134,5 +173,7 @@ def ingest_incremental(
     articles = star.article_rows(
         valid, store.articles, store.users.unionByName(users), store.columns, base
     )
+    articles = runtime.materialize(articles, "articles")
     columns = summaries.last_update_per_column(valid, store.columns)
-    return Load(users, columns, articles, _rejects(rejects).unionByName(_rejects(unknown)))
+    every = _rejects(rejects).unionByName(_rejects(unknown)).unionByName(broken)
+    return Load(users, columns, articles, every.unionByName(_broken_columns(column_responses)), left)

@@ -17,14 +17,38 @@ MEMBER = "/members/([^/?]+)/"
 
 
 def _fetched(users: DataFrame, responses: DataFrame, kind: str) -> DataFrame:
-    """Responses on the chains that start at the users' first pages, with their user."""
+    """Responses on the chains that start at the users' first pages, with their user and the
+    chain's first page. Of a page that was fetched several times the first one counts."""
+    once = runtime.materialize(
+        keyed.first_write_wins(responses.select("url", "resp_seq"), "url", ["resp_seq"]), "once"
+    )
     starts = paging.seed_urls(users, kind).select("url", "slug")
-    reached = paging.cursor_pages(starts, extract.paging(responses))
+    links = extract.paging(responses.join(once.select("resp_seq"), "resp_seq", "left_semi"))
+    reached = paging.cursor_pages(starts, links)
     # One user may own a large share of the pages, so the lookup by chain is a balanced one;
-    # the join by address is between unique keys.
+    # the joins by address and number are between unique keys.
     roots = starts.select(F.col("url").alias("root"), F.col("slug").alias("owner"))
-    owned = runtime.lookup(reached, roots, "root", ["hop"], "inner").select("url", "owner")
-    return responses.join(owned, "url")
+    owned = runtime.lookup(reached, roots, "root", ["hop"], "inner").select("url", "root", "owner")
+    return responses.join(owned.join(once, "url").drop("url"), "resp_seq")
+
+
+def complete_owners(pages: DataFrame, kind: str) -> DataFrame:
+    """Users all of whose chains were fetched up to their last page."""
+    ends = extract.page_ends(pages)
+    chains = pages.select("url", "root", "owner").join(ends, "url").select("owner", "root").distinct()
+    done = chains.groupBy("owner").agg(F.count(F.lit(1)).alias("n"))
+    return done.filter(F.col("n") == len(paging.SEEDS[kind])).select(F.col("owner").alias("slug"))
+
+
+def _rejects(df: DataFrame, key: str = "slug") -> DataFrame:
+    """(resp_seq, pos, reject_reason) of rows without a key; pos is null for a whole body."""
+    bad = df.filter(F.coalesce(F.col(key), F.lit("")) == "")
+    return bad.select("resp_seq", "pos", F.lit("no_key").alias("reject_reason"))
+
+
+def _broken(responses: DataFrame, schema) -> DataFrame:
+    bad = extract.broken_bodies(responses, schema)
+    return bad.select("resp_seq", F.lit(None).cast("int").alias("pos"), "reject_reason")
 
 
 def _owner(df: DataFrame) -> DataFrame:
@@ -33,11 +57,13 @@ def _owner(df: DataFrame) -> DataFrame:
 
 def crawl_follow_graph(
     users: DataFrame, responses: DataFrame, at: Column | str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(new users, full user snapshot) of a follow crawl that runs until nobody is pending.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(new users, full user snapshot, rejects) of a follow crawl that runs until nobody is
+    pending.
 
     Pending users and everybody first met through them are crawled; known users with the
-    flag set or unknown are met but not crawled.
+    flag set or unknown are met but not crawled. Done are those crawled users whose chains
+    were fetched to their ends; the others stay pending.
     """
     waiting = runtime.materialize(keyed.pending(users, "crawl_follow").select("slug"), "pending")
     idle = users.select("slug").join(waiting, "slug", "left_anti")
@@ -61,7 +87,9 @@ def crawl_follow_graph(
         {"crawl_column": F.lit(False), "crawl_follow": F.lit(False)}
     )
     fresh = runtime.materialize(fresh.select(*schemas.USER.fieldNames()), "users")
-    return fresh, keyed.mark_done(users.unionByName(fresh), crawled, "crawl_follow")
+    done = crawled.join(complete_owners(pages, "follow"), "slug", "left_semi")
+    rejects = _broken(pages, schemas.MEMBERS).unionByName(_rejects(members))
+    return fresh, keyed.mark_done(users.unionByName(fresh), done, "crawl_follow"), rejects
 
 
 def _new_random_columns(
@@ -80,32 +108,50 @@ def discover_columns(
     known: DataFrame,
     queue: DataFrame,
     at: Column | str | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(columns to queue, user snapshot): columns that pending users contribute to or follow."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(columns to queue, user snapshot, rejects): columns that pending users contribute to or
+    follow. Done are users whose chains were fetched to their ends."""
     waiting = runtime.materialize(keyed.pending(users, "crawl_column").select("slug"), "pending")
     pages = runtime.materialize(_fetched(waiting, responses, "column"), "pages")
     contributed = F.contains(F.col("url"), F.lit("/column-contributions"))
     found = extract.explode_contributions(pages.filter(contributed)).unionByName(
         extract.explode_following_columns(pages.filter(~contributed))
     )
-    fresh = _new_random_columns(runtime.materialize(found, "found"), known, queue, at)
-    return fresh, keyed.mark_done(users, waiting, "crawl_column")
+    found = runtime.materialize(found, "found")
+    fresh = _new_random_columns(found, known, queue, at)
+    rejects = (
+        _broken(pages.filter(contributed), schemas.CONTRIBUTIONS)
+        .unionByName(_broken(pages.filter(~contributed), schemas.FOLLOWING))
+        .unionByName(_rejects(found))
+    )
+    return fresh, keyed.mark_done(users, complete_owners(pages, "column"), "crawl_column"), rejects
 
 
 def discover_random_columns(
-    responses: DataFrame, known: DataFrame, queue: DataFrame, at: Column | str | None = None
-) -> DataFrame:
-    """Columns to queue from the lists of recommendations."""
-    return _new_random_columns(extract.explode_recommendations(responses), known, queue, at)
+    responses: DataFrame,
+    known: DataFrame,
+    queue: DataFrame,
+    at: Column | str | None = None,
+    plan: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(columns to queue, rejects) from the lists of recommendations; with a ``plan`` of
+    drawn requests, from the responses to those alone."""
+    if plan is not None:
+        responses = responses.join(plan.select("url").distinct(), "url", "left_semi")
+    found = runtime.materialize(extract.explode_recommendations(responses), "found")
+    rejects = _broken(responses, schemas.RECOMMENDATIONS).unionByName(_rejects(found))
+    return _new_random_columns(found, known, queue, at), rejects
 
 
 def refresh_proxies(
     pages: DataFrame, checks: DataFrame, existing: DataFrame, at: Column | str | None = None
-) -> DataFrame:
-    """Proxy snapshot after reading the lists and keeping what passed its check."""
+) -> tuple[DataFrame, DataFrame]:
+    """(proxy snapshot, rejects) after reading the lists and keeping what passed its check."""
     pages = pages.withColumnRenamed("page_id", "resp_seq")
     rows = extract.html_table_rows(pages, "html", extract.layout_columns("layout"))
+    rows = runtime.materialize(rows, "listed")
     missing = F.col("host").isNull() | F.col("port").isNull() | F.col("protocol").isNull()
-    whole, _ = extract.split_rejects(rows, {"missing_cell": missing})
+    whole, rejects = extract.split_rejects(rows, {"missing_cell": missing})
     good = keyed.available(whole, checks, ["host", "port"], SEQ)
-    return keyed.upsert_proxies(existing, runtime.materialize(good, "proxies"), SEQ, at)
+    snapshot = keyed.upsert_proxies(existing, runtime.materialize(good, "proxies"), SEQ, at)
+    return snapshot, rejects.select("resp_seq", "pos", "reject_reason")

@@ -265,6 +265,9 @@ reached(no) AS (
   SELECT user_id FROM waiting
   UNION SELECT dst FROM reached JOIN edges ON no = src),
 crawled AS (SELECT no FROM reached WHERE no NOT IN (SELECT user_id FROM idle)),
+done AS (
+  SELECT no FROM crawled WHERE no IN (
+    SELECT user_id FROM follows GROUP BY user_id HAVING count(DISTINCT k % 2) = 2)),
 fresh AS (
   SELECT (SELECT max(id) FROM stored_users) + row_number() OVER (ORDER BY md5('u' || no)) AS id, *
   FROM (SELECT user_id + k AS no, 'Member ' || (user_id + k) || ' of ' || user_id AS name
@@ -540,11 +543,28 @@ SELECT slug, strftime(greatest(max(last_update_time), max(date_trunc('second', t
 FROM stored_columns LEFT JOIN kept ON slug = source GROUP BY slug""",
     "crawl_follow_graph": f"""{FOLLOWS}{FOLLOW_CRAWL}
 SELECT id, slug, 'Stored ' || user_id AS name,
-       CASE WHEN user_id IN (SELECT no FROM crawled) THEN true ELSE crawl_follow END AS crawl_follow,
+       CASE WHEN user_id IN (SELECT no FROM done) THEN true ELSE crawl_follow END AS crawl_follow,
        crawl_column
 FROM stored_users
 UNION ALL
-SELECT id, 'u' || no, name, no IN (SELECT no FROM crawled), false FROM fresh""",
+SELECT id, 'u' || no, name, no IN (SELECT no FROM done), false FROM fresh""",
+    "crawl_follow_graph_rejects": f"""{FOLLOWS}{FOLLOW_CRAWL}
+SELECT DISTINCT resp_seq, 'broken_body' AS reject_reason FROM items
+WHERE rn < 20 AND user_id % 4 = 0 AND user_id NOT IN (SELECT user_id FROM idle)""",
+    "refresh_proxies_rejects": """
+SELECT 'missing_cell' AS reject_reason, count(DISTINCT (s_nationkey, s_suppkey // 100)) AS n
+FROM supplier""",
+    "store_round_trip": f"""{FOLLOWS}
+SELECT id, slug, CASE WHEN NOT crawl_follow THEN true ELSE crawl_follow END AS crawl_follow
+FROM users""",
+    "ingest_incremental_queue": f"""{SOURCES}
+SELECT source AS slug FROM sources
+QUALIFY row_number() OVER (ORDER BY md5(source || '7'), source) > 10""",
+    "ingest_articles_rejects": f"""{POSTS}
+SELECT DISTINCT resp_seq, 'broken_body' AS reject_reason FROM posts WHERE resp_seq % 5 = 0""",
+    "append_batches_commits": f"""{ITEMS}
+SELECT batch, count(*) AS n_rows, least(100, count(*)) AS most FROM items GROUP BY batch""",
+    "stream_dedupe_watermark": f"{ITEMS} SELECT DISTINCT key, slug FROM items",
     "discover_columns": f"""{FOLLOWS}
 SELECT row_number() OVER (ORDER BY md5('c' || no)) AS id, 'c' || no AS slug,
        'https://zhuanlan.zhihu.com/c' || no AS link, md5('c' || no) AS hash

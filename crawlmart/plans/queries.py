@@ -20,7 +20,7 @@ QUERIES: dict[str, Query] = {}
 
 BASE = "https://reader.example"
 AT = sample.AT
-DRAWN, SEED = 10, 7
+DRAWN, SEED, COMMIT = 10, 7, 100
 
 
 def query(fn: Query) -> Query:
@@ -582,7 +582,8 @@ def offset_plan(spark, sf):
 def cursor_pages(spark, sf):
     pages = sample.paged_responses(spark, sf, "members")
     starts = pages.filter(keys.offset_from_url(F.col("url")) == 0)
-    return paging.cursor_pages(starts, extract.paging(pages))
+    twice = pages.unionByName(pages)  # every page was fetched twice
+    return paging.cursor_pages(starts, extract.paging(twice))
 
 
 @query
@@ -649,6 +650,30 @@ def stream_dedupe(spark, sf):
     return ingest.read_batches(spark, path, schema).select("key", "batch")
 
 
+@query
+def append_batches_commits(spark, sf):
+    """Rows of the largest file: the commit size."""
+    path = runtime.new_dir(spark, "appended")
+    _land(spark, sf, lambda stream, cp: ingest.append_batches(stream, path, cp, COMMIT))
+    rows = ingest.read_batches(spark, path, sample.event_items(spark, sf).schema)
+    files = rows.groupBy("batch", F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return files.groupBy("batch").agg(F.sum("n").alias("n_rows"), F.max("n").alias("most"))
+
+
+@query
+def stream_dedupe_watermark(spark, sf):
+    path = runtime.new_dir(spark, "deduped")
+
+    def start(stream, cp):
+        seen = ingest.stream_dedupe(stream, "key", "ts", "3650 days")
+        return ingest.append_batches(seen, path, cp)
+
+    _land(spark, sf, start)
+    schema = sample.event_items(spark, sf).schema
+    # Batches without rows move the watermark on, so numbers of batches say nothing here.
+    return ingest.read_batches(spark, path, schema).select("key", "slug")
+
+
 @query
 def stream_last_update(spark, sf):
     path = runtime.new_dir(spark, "updates")
@@ -749,7 +774,7 @@ def ingest_incremental_columns(spark, sf):
 
 @query
 def crawl_follow_graph(spark, sf):
-    _, users = crawls.crawl_follow_graph(
+    _, users, _ = crawls.crawl_follow_graph(
         sample.stored_users(spark, sf), sample.follow_responses(spark, sf), AT
     )
     return users.select("id", "slug", "name", "crawl_follow", "crawl_column")
@@ -757,7 +782,7 @@ def crawl_follow_graph(spark, sf):
 
 @query
 def discover_columns(spark, sf):
-    fresh, _ = crawls.discover_columns(
+    fresh, _, _ = crawls.discover_columns(
         sample.users(spark, sf), sample.user_column_responses(spark, sf),
         sample.known_user_columns(spark, sf), empty(spark, schemas.RANDOM_COLUMN), AT,
     )
@@ -766,7 +791,7 @@ def discover_columns(spark, sf):
 
 @query
 def discover_random_columns(spark, sf):
-    fresh = crawls.discover_random_columns(
+    fresh, _ = crawls.discover_random_columns(
         sample.recommendation_responses(spark, sf), sample.known_columns(spark, sf),
         empty(spark, schemas.RANDOM_COLUMN), AT,
     )
@@ -775,12 +800,64 @@ def discover_random_columns(spark, sf):
 
 @query
 def refresh_proxies(spark, sf):
-    rows = crawls.refresh_proxies(
+    rows, _ = crawls.refresh_proxies(
         sample.proxy_pages(spark, sf), sample.proxy_checks(spark, sf), sample.stored_proxies(spark, sf), AT
     )
     return rows.select("id", "host", "port", "protocol", "available")
 
 
+def _cut(responses: DataFrame, every: int) -> DataFrame:
+    """Responses of which every so-manieth body breaks off before its end."""
+    cut = F.col("resp_seq") % every == 0
+    short = F.substring("body", F.lit(1), F.length("body") - 2)
+    return responses.withColumn("body", F.when(cut, short).otherwise(F.col("body")))
+
+
+@query
+def ingest_articles_rejects(spark, sf):
+    load = articles.ingest_articles(
+        _cut(sample.post_responses(spark, sf), 5), sample.column_responses(spark, sf),
+        store(spark, sf), BASE, AT,
+    )
+    return load.rejects.select("resp_seq", "reject_reason")
+
+
+@query
+def crawl_follow_graph_rejects(spark, sf):
+    *_, rejects = crawls.crawl_follow_graph(
+        sample.stored_users(spark, sf), _cut(sample.follow_responses(spark, sf), 4), AT
+    )
+    return rejects.select("resp_seq", "reject_reason")
+
+
+@query
+def refresh_proxies_rejects(spark, sf):
+    pages = sample.proxy_pages(spark, sf)
+    # Every third row of a list loses its last cell.
+    cut = F.regexp_replace("html", r"(?s)<td\b[^>]*>[^<]*</td>(\s*</tr>\s*</table>)", "$1")
+    _, rejects = crawls.refresh_proxies(
+        pages.withColumn("html", cut), sample.proxy_checks(spark, sf),
+        sample.stored_proxies(spark, sf), AT,
+    )
+    return rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def ingest_incremental_queue(spark, sf):
+    return _ingest_incremental(spark, sf).queue.select("slug")
+
+
+@query
+def store_round_trip(spark, sf):
+    """Two states of the user table; readers get the newer one, each row once."""
+    path = runtime.new_dir(spark, "users")
+    tables.write_snapshot(sample.users(spark, sf), path, 0)
+    users = tables.read_snapshot(spark, path, schemas.USER)
+    done = keyed.pending(users, "crawl_follow").select("slug")
+    tables.write_snapshot(keyed.mark_done(users, done, "crawl_follow"), path, 1)
+    return tables.read_snapshot(spark, path, schemas.USER).select("id", "slug", "crawl_follow")
+
+
 @query
 def new_articles_per_column(spark, sf):
     """Which articles of this crawl are new, per column?"""

@@ -3,31 +3,23 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# A key with more than 1/HOT_KEYS of all rows is always among the HOT_KEYS most frequent
-# ones, so this many keys are enough to find every hot one.
-HOT_KEYS = 100
-SALTS = 32
+# Rows of one key that a task of a salted join takes.
+ROWS_PER_TASK = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors reach: ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own.
-    """
+    """Folder that all executors reach: the setting ``spark.checkpoint.dir``, or the
+    checkpoint folder of the context. There is no default: intermediates of a machine's own
+    folder are lost with it."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if path:
-        return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not path:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir()
+    return path
 
 
 def new_dir(spark: SparkSession, tag: str) -> str:
@@ -50,17 +42,13 @@ def write_counted(df: DataFrame, path: str) -> int:
     return seen.get["n"]
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """The HOT_KEYS most frequent values of ``key``: at most that many rows, whatever the
-    input size, so the result may always be broadcast."""
-    return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.desc("_n"), key)
-        .limit(HOT_KEYS)
-        .select(key)
-    )
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(key, _salts): the keys with more rows than a task should take, and over how many
+    parts to split each. There are at most rows / rows_per_task of them, however many keys
+    there are, and the parts of all add up to less than twice that."""
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    salts = F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")
+    return counts.filter(F.col("_n") > rows_per_task).select(key, salts)
 
 
 def _bytes(setting: str) -> int:
@@ -86,31 +74,29 @@ def lookup(
     spread: list[str],
     how: str = "left",
     hot: DataFrame | None = None,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Equi-join of ``facts`` to ``dim`` (unique on ``key``) that stays balanced when one
     key holds a large share of the facts.
 
-    A ``dim`` within the broadcast limit is joined as it is. Beyond the limit, rows of hot
-    keys are split over ``salts`` by a hash of ``spread`` (columns that differ inside a
-    key) and only the at most HOT_KEYS hot dimension rows are repeated. Null keys match
-    nothing and are spread the same way.
+    A ``dim`` within the broadcast limit is joined as it is. Beyond it, a key with more than
+    ``rows_per_task`` facts is split over as many parts as it needs by a hash of ``spread``
+    (columns that differ inside a key), and its one dimension row is repeated for each part.
+    Null keys match nothing and are spread by the same hash. ``facts`` should be a written
+    table: its keys are counted before it is joined.
     """
     if fits_broadcast(dim):
         return facts.join(dim, key, how)
     if hot is None:
-        hot = hot_keys(facts, key)
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+        hot = hot_keys(facts, key, rows_per_task)
+    hot = F.broadcast(hot)  # rows of facts / rows_per_task at most
+    null_parts = F.lit(1 << 16)
+    parts = F.when(F.col(key).isNull(), null_parts).otherwise(F.coalesce("_salts", F.lit(1)))
     left = (
         facts.join(hot, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(0))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-    right = (
-        dim.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-        .drop("_hot")
+        .withColumn("_salt", F.pmod(F.xxhash64(*spread), parts).cast("int"))
+        .drop("_salts")
     )
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    right = dim.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return left.join(right, [key, "_salt"], how).drop("_salt")

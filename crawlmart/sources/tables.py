@@ -23,8 +23,37 @@ def read_api(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_store(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table: every batch written under ``path`` by ``write_table``."""
-    return spark.read.schema(schema).parquet(path)
+    """A stored table: every batch written under ``path`` by ``write_table``, with exactly
+    the columns of ``schema``."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+def write_snapshot(df: DataFrame, path: str, number: int) -> None:
+    """Write a full state of a table. Readers see it when its completion mark is there."""
+    df.write.mode("overwrite").parquet(f"{path}/snapshot={number}")
+
+
+def newest_snapshot(spark: SparkSession, path: str) -> int | None:
+    """Number of the newest complete snapshot."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    root = hadoop(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return None
+    numbers = [
+        int(name.removeprefix("snapshot="))
+        for name in (entry.getPath().getName() for entry in files.listStatus(root))
+        if name.startswith("snapshot=") and files.exists(hadoop(f"{path}/{name}/_SUCCESS"))
+    ]
+    return max(numbers, default=None)
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest complete state of a table; no rows if there is none."""
+    number = newest_snapshot(spark, path)
+    if number is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/snapshot={number}")
 
 
 def read_jdbc(
@@ -35,9 +64,10 @@ def read_jdbc(
     return spark.read.jdbc(url, table, column=key, lowerBound=low, upperBound=high, numPartitions=parts)
 
 
-def write_table(df: DataFrame, path: str, batch: int) -> None:
-    """Write one batch of a table. A repeated batch replaces its own rows only."""
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+def write_table(df: DataFrame, path: str, batch: int, items: int = 0) -> None:
+    """Write one batch of a table, at most ``items`` rows a file (0: no limit). A repeated
+    batch replaces its own rows only."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", items).parquet(f"{path}/batch={batch}")
 
 
 def read_set(spark: SparkSession, path: str) -> DataFrame:

@@ -43,9 +43,11 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(T.StructType([*schema.fields, batch])).parquet(path)
 
 
-def append_batches(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append every micro-batch; the source's batch size is the commit size."""
-    return _run(stream, lambda batch, no: write_table(batch, path, no), checkpoint)
+def append_batches(
+    stream: DataFrame, path: str, checkpoint: str, items: int = 0
+) -> StreamingQuery:
+    """Append every micro-batch, in files of at most ``items`` rows (0: no limit)."""
+    return _run(stream, lambda batch, no: write_table(batch, path, no, items), checkpoint)
 
 
 def stream_insert_if_absent(

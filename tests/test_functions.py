@@ -164,3 +164,32 @@ def test_proxy_address_and_defaults(spark):
 def test_stamp_default_is_one_moment(spark):
     rows = keys.stamp(spark.range(10)).select("create_time", "modify_time").distinct().collect()
     assert len(rows) == 1 and rows[0][0] == rows[0][1]
+
+
+LONG = "x" * 1_000_000
+
+
+@pytest.mark.parametrize(
+    ("tag", "src"),
+    [
+        (f'<img alt={LONG} src="a.jpg">', "a.jpg"),
+        (f'<img alt="{LONG}" src=\'a.jpg\'>', "a.jpg"),
+        (f"<img {LONG} src=a.jpg>", "a.jpg"),
+        ("<img " + "a=b " * 200_000 + "src=a.jpg>", "a.jpg"),
+        ("<img alt=it's src=\"a.jpg\">", "a.jpg"),
+        ('<img alt="x src=no.jpg" SRC = a.jpg>', "a.jpg"),
+        ('<img alt="never closed src=a.jpg>', "a.jpg"),
+        ("<img alt=''src=a.jpg>", "a.jpg"),
+    ],
+)
+def test_images_in_odd_tags(spark, tag, src):
+    df = spark.createDataFrame([(f"p {tag} q",)], "t string")
+    host = df.select(html.image_host(F.lit(src)).alias("h")).first().h
+    out = df.select(
+        html.rewrite_images(F.col("t")).alias("t"),
+        html.cover_or_first_image(F.lit(""), F.col("t")).alias("c"),
+    ).first()
+    if "never closed" in tag:  # the quote is a character; its value ends at the blank
+        assert f'src="{host}{src}"' in out.t
+    assert out.c == host + src
+    assert f'"{host}{src}"' in out.t and out.t.startswith("p <img") and out.t.endswith("> q")

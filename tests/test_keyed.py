@@ -52,7 +52,7 @@ def test_hot_keys_are_spread_over_tasks(spark, no_broadcast):
     dim = spark.createDataFrame([("hot", 0)] + [(f"k{i}", i) for i in range(2000)], "key string, id int")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = runtime.lookup(facts, dim, "key", ["seq"]).filter(F.col("key") == "hot")
+        joined = runtime.lookup(facts, dim, "key", ["seq"], rows_per_task=100).filter(F.col("key") == "hot")
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
