@@ -11,6 +11,7 @@ from crawlmart import runtime, schemas
 from crawlmart.functions import keys
 from crawlmart.operators import extract, keyed, paging, star, summaries
 from crawlmart.operators.extract import SEQ
+from crawlmart.sources import tables
 
 
 @dataclass
@@ -102,6 +103,30 @@ def ingest_articles(
     return load
 
 
+@dataclass
+class Stored:
+    """What storing a load gives: the path of each table, the set of known columns with the
+    new ones, and the feed of the new articles."""
+
+    paths: dict[str, str]
+    known: DataFrame
+    feed: DataFrame
+
+
+def store_load(load: Load, known: DataFrame, root: str, batch: int, base: str) -> Stored:
+    """Write a load's dimensions, then its facts, and publish what is new."""
+    dims = {"users": load.users, "columns": load.columns}
+    paths = tables.write_star(dims, {"articles": load.articles.drop(*SEQ)}, root, batch)
+    feed = summaries.new_article_feed(load.articles, base)
+    return Stored(paths, tables.add_to_set(known, load.columns), feed)
+
+
+def fetchable(queue: DataFrame, responses: DataFrame, done: DataFrame) -> DataFrame:
+    """What is left of a queue after a run: without columns that answered 404 and without
+    those that were loaded. ``responses`` has slug and status."""
+    return keyed.dequeue(keyed.dead_links(queue, responses, "slug"), done)
+
+
 def ingest_single_articles(
     pages: DataFrame,
     column_responses: DataFrame,

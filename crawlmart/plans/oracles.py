@@ -562,6 +562,12 @@ SELECT source AS slug FROM sources
 QUALIFY row_number() OVER (ORDER BY md5(source || '7'), source) > 10""",
     "ingest_articles_rejects": f"""{POSTS}
 SELECT DISTINCT resp_seq, 'broken_body' AS reject_reason FROM posts WHERE resp_seq % 5 = 0""",
+    "ingest_articles_known_columns": f"""{POSTS}{E1_COLUMNS}
+SELECT source AS slug FROM sources WHERE src_no % 4 = 0 UNION SELECT source FROM fresh_columns""",
+    "ingest_articles_stored": f"""{POSTS}{E1_COLUMNS}
+SELECT (SELECT max(id) FROM stored_articles) + row_number() OVER (ORDER BY md5(md5)) AS id, md5,
+       u.id AS author_id, c.id AS belong_id
+FROM new_posts JOIN all_users u ON u.no = user_id JOIN all_columns c ON c.slug = source""",
     "append_batches_commits": f"""{ITEMS}
 SELECT batch, count(*) AS n_rows, least(100, count(*)) AS most FROM items GROUP BY batch""",
     "stream_dedupe_watermark": f"{ITEMS} SELECT DISTINCT key, slug FROM items",
@@ -595,3 +601,4 @@ ORACLES["non_empty_key"] = ORACLES["explode_recommendations"].replace(
     "SELECT resp_seq, pos, slug, 'https://zhuanlan.zhihu.com/' || slug AS link, md5(slug) AS hash\nFROM listed",
     "SELECT resp_seq, pos, slug, md5(slug) AS hash FROM listed WHERE slug <> ''",
 )
+ORACLES["ingest_articles_feed"] = ORACLES["new_article_feed"]

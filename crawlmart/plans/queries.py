@@ -822,6 +822,29 @@ def ingest_articles_rejects(spark, sf):
     return load.rejects.select("resp_seq", "reject_reason")
 
 
+def _stored(spark, sf):
+    known = runtime.materialize(sample.known_columns(spark, sf), "known")
+    return articles.store_load(_ingest(spark, sf), known, runtime.new_dir(spark, "star"), 0, BASE)
+
+
+@query
+def ingest_articles_feed(spark, sf):
+    return _stored(spark, sf).feed.withColumn("md5s", F.array_join("md5s", ","))
+
+
+@query
+def ingest_articles_known_columns(spark, sf):
+    return _stored(spark, sf).known
+
+
+@query
+def ingest_articles_stored(spark, sf):
+    """The written articles, read back."""
+    paths = _stored(spark, sf).paths
+    rows = tables.read_store(spark, paths["articles"], schemas.ARTICLE)
+    return rows.select("id", "md5", "author_id", "belong_id")
+
+
 @query
 def crawl_follow_graph_rejects(spark, sf):
     *_, rejects = crawls.crawl_follow_graph(

@@ -153,3 +153,24 @@ def test_a_session_without_a_shared_folder_is_told():
     )
     with pytest.raises(RuntimeError):
         runtime.shared_dir(unset)
+
+
+def test_random_discovery_reads_planned_responses_only(spark):
+    starts = spark.createDataFrame([(1,)], "k long")
+    plan = runtime.materialize(paging.random_plan(starts, "k", 3, 1), "plan")
+    first = plan.orderBy("draw").first().url
+    body = json.dumps([{"slug": "x"}, {}])
+    rows = [(1, first, body), (2, "https://elsewhere.example", json.dumps([{"slug": "y"}]))]
+    empty = spark.createDataFrame([], schemas.RANDOM_COLUMN)
+    known = spark.createDataFrame([], "slug string")
+    fresh, rejects = crawls.discover_random_columns(
+        spark.createDataFrame(rows, schemas.RESPONSE), known, empty, AT, plan
+    )
+    assert [r.slug for r in fresh.collect()] == ["x"]
+    assert [(r.resp_seq, r.reject_reason) for r in rejects.collect()] == [(1, "no_key")]
+
+
+def test_queue_after_a_run(spark):
+    queue = spark.createDataFrame([("a",), ("b",), ("c",)], "slug string")
+    seen = spark.createDataFrame([("a", 404), ("b", 200)], "slug string, status int")
+    assert [r.slug for r in articles.fetchable(queue, seen, seen.filter("status = 200")).collect()] == ["c"]
