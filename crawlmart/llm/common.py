@@ -12,6 +12,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Bounds what a Python worker gets at once: texts of very different lengths travel in
+    batches of about ``size``, not of a number of rows. A session's own setting stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":  # Spark's default
+        spark.conf.set(key, size)
+
+
 def words_of(text: Column) -> Column:
     """Words of a text: runs of anything but the six ASCII blanks. Null gives no words."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")

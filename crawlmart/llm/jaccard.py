@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from crawlmart import runtime
 from crawlmart.llm import hashing
-from crawlmart.llm.common import shelved
+from crawlmart.llm.common import shelved, small_batches
 from crawlmart.llm.graph import components
 
 SKETCH = 1 << 21  # counters of the order of rarity
@@ -479,6 +479,7 @@ def _filter_of(pairs: DataFrame) -> bytes:
 # -- the join --------------------------------------------------------------------------
 def linked_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     table, n_shingles = rarity(docs, join)

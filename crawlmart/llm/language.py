@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlmart.llm import hashing
+from crawlmart.llm.common import small_batches
 
 UNKNOWN = "und"
 SPACE = 32
@@ -99,6 +100,7 @@ class Model:
 
 def train(rows: DataFrame, grams: Grams = Grams()) -> Model:
     """From all rows with a text and a non-null lang."""
+    small_batches(rows.sparkSession)
     rows = rows.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter("lang is not null and text is not null")
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from crawlmart import runtime
 from crawlmart.llm import hashing
-from crawlmart.llm.common import running
+from crawlmart.llm.common import running, small_batches
 
 END = 0  # the token behind each document
 KNOWN = 700_000  # words that a worker keeps at most; it then begins anew
@@ -349,6 +349,7 @@ def pack_documents(
 ) -> DataFrame:
     """Pieces with sequence_id and offset. What comes to the driver is one count for each
     length, ``capacity`` at most."""
+    small_batches(docs.sparkSession)
     cut = runtime.materialize(pieces(docs, tokenizer, pack, ids), "pieces")
     counts = cut.groupBy("length").agg(F.count(F.lit(1)).alias("n_alike"))
     known = {r["length"]: r["n_alike"] for r in counts.collect()}

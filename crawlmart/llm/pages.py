@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlmart.llm.common import small_batches
+
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -268,5 +270,6 @@ def extract(pages: DataFrame, ratio: Ratio = Ratio()) -> DataFrame:
             )
 
     schema = f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long"
+    small_batches(pages.sparkSession)
     plain = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     return plain.mapInArrow(run, schema)

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlmart.llm.common import small_batches
+
 KINDS = ("email", "ip", "card", "phone")
 N = len(KINDS) + 1  # labels: 0 is none of them
 SAMPLE_DOCS = 50_000  # documents that are looked at for training, about
@@ -292,6 +294,7 @@ def written(spans: list[Span]) -> str:
 def find(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, the number of matches of each kind, and base and spans as kind:start:end."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,6 +328,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def redact(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with personal data replaced; n_chars, if there, follows a changed text."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     at, size = names.index("text"), names.index("n_chars") if "n_chars" in names else None
