@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from crawlmart.llm import chat, quality
+from crawlmart.llm import chat, quality, secrets
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -45,6 +45,48 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+def _secret_scan() -> str:
+    # No lookaround here: a run of exactly 40 characters is a whole run of that length.
+    run = "[A-Za-z0-9+/]+"
+    parts, linked = [], []
+    for rank, kind in enumerate(secrets.KINDS, 1):
+        pattern = run if kind.name == "secret" else kind.pattern
+        quoted = pattern.replace("'", "''")
+        ok = f"length(m[i]) >= {kind.least}"
+        if kind.group:
+            ok = f"length(regexp_extract(m[i], '{quoted}', 1)) >= {kind.least}"
+        if kind.name == "secret":
+            ok = "length(m[i]) = 40 AND " + " AND ".join(
+                f"regexp_matches(m[i], '{c}')" for c in ("[A-Z]", "[a-z]", "[0-9]")
+            )
+        parts.append(f"""
+  SELECT r, {rank} AS rank, '{kind.name}' AS kind, p AS start, p + length(m[i]) AS stop FROM (
+    SELECT r, i, m, list_sum([length(x) FOR x IN g[1:i]]) + coalesce(list_sum([length(x) FOR x IN m[1:i - 1]]), 0) AS p
+    FROM (SELECT r, m, g, unnest(range(1, len(m) + 1)) AS i FROM (
+      SELECT r, regexp_extract_all(text, '{quoted}') AS m, string_split_regex(text, '{quoted}') AS g FROM d)))
+  WHERE {ok}""")
+        near = [
+            f"EXISTS (SELECT 1 FROM s p WHERE p.r = s.r AND abs(p.start - s.start) <= {secrets.SCOPE} "
+            f"AND p.kind IN ({', '.join(repr(k) for k in some)}))"
+            for some in kind.needs
+        ]
+        linked.append(f"(kind = '{kind.name}'" + "".join(f" AND {x}" for x in near) + ")")
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}')::BIGINT AS n_{k}" for k in secrets.BASE)
+    zeros = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE)
+    name = "kind || ':' || start || ':' || stop"
+    order = "ORDER BY start, rank, stop"
+    base = f"FILTER (rank <= {len(secrets.BASE)})"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+s AS ({" UNION ALL ".join(parts)}
+), k AS (SELECT * FROM s WHERE {" OR ".join(linked)}),
+a AS (SELECT r, {counts}, string_agg({name}, ',' {order}) {base} AS base,
+             string_agg({name}, ',' {order}) AS spans FROM k GROUP BY r)
+SELECT doc_id, {zeros}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (r)
+"""
+
+
 def _line_quality(rules: quality.Rules = quality.Rules()) -> str:
     phrases = " OR ".join(f"contains(lower(line), '{p}')" for p in rules.boilerplate)
     return rf"""
@@ -133,6 +175,7 @@ FROM g
 
 ORACLES = {
     "op3_jaccard_join": JACCARD,
+    "op4_secret_scan": _secret_scan(),
     "op5_nearest_vectors": NEAREST,
     "op7_line_quality": _line_quality(),
     "op10_chat_format": _chat_format(),

@@ -98,6 +98,17 @@ def test_base_spans(spark, odd_dir, odd, name, kinds):
             assert {brute.written([s]) for s in b} <= every[i]
 
 
+def test_weak_secrets_need_their_counterparts(spark, odd_dir, odd):
+    found = {r["doc_id"]: r["spans"] for r in rows(QUERIES["op4_secret_scan"](spark, odd_dir))}
+    text = next(t for i, t, *_ in odd if i == 900012)
+    spans = [s.split(":") for s in found[900012].split(",")]
+    assert [k for k, *_ in spans] == ["assign", "hex", "access", "secret", "endpoint"]
+    by = {k: text[int(a) : int(b)] for k, a, b in spans}
+    assert by["secret"] == "wJalrXUtnFEMIxK7MDENGxbPxRfiCYEXAMPLEKEY"
+    assert by["endpoint"] == "https://s3.example.org/x"
+    assert found[900014] == ""
+
+
 def test_language(spark, odd_dir, odd):
     found = rows(QUERIES["op6_language_id"](spark, odd_dir))
     assert Counter(r["doc_id"] for r in found) == Counter(i for i, *_ in odd)
