@@ -36,9 +36,9 @@ class _Powers:
 _powers, _inverses = _Powers(BASE), _Powers(INVERSE)
 
 
-def lots(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def lots(texts: pa.Array, lot: int = LOT) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cuts an Arrow string array into lots: (first row, number of rows, UTF-8 bytes, place of
-    each row's first byte). A text larger than LOT comes in several lots of one row each,
+    each row's first byte). A text larger than a lot comes in several lots of one row each,
     cut behind a blank if there is one. Null is empty."""
     if pa.types.is_large_string(texts.type):
         offsets = np.frombuffer(texts.buffers()[1], np.int64)
@@ -49,14 +49,14 @@ def lots(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
     row, n = 0, len(texts)
     while row < n:
-        end = int(np.searchsorted(offsets, offsets[row] + LOT, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + lot, side="right")) - 1
         end = min(max(end, row + 1), n)
         low, high = int(offsets[row]), int(offsets[end])
-        if high - low <= LOT or end > row + 1:
+        if high - low <= lot or end > row + 1:
             yield row, end - row, data[low:high], offsets[row:end] - low
         else:
             while low < high:
-                cut = min(low + LOT, high)
+                cut = min(low + lot, high)
                 if cut < high:
                     blanks = np.flatnonzero(is_blank(data[low:cut]))
                     if len(blanks):

@@ -37,6 +37,8 @@ from crawlmart.llm.graph import components
 
 SKETCH = 1 << 21  # counters of the order of rarity
 PART = 1 << 15  # counters that travel together
+LOT = 1 << 19  # bytes of text that are hashed together
+WAITING = 1 << 19  # shingles that are counted together
 BUCKET = 1 << 19  # prefix shingles in one bucket, about
 SMALL = 8  # a run of so many groups gives all its pairs
 BITS = 1 << 24  # of the filter on sets that take part in a candidate
@@ -76,7 +78,7 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
             total += w[i : i + n] * salt[i]
         return hashing.scramble(total)
 
-    for first, n, data, rows in hashing.lots(texts):
+    for first, n, data, rows in hashing.lots(texts, LOT):
         data = hashing.lowered(data)
         starts, ends = hashing.word_bounds(data, rows)
         hashed = hashing.word_hashes(data, starts, ends)
@@ -101,7 +103,7 @@ def rarity(docs: DataFrame, join: Join) -> tuple[np.ndarray, int]:
             for found in shingle_sets(batch.column("text").fill_null(""), join.words):
                 waiting.append((found % np.uint64(SKETCH)).astype(np.int64))
                 n += len(found)
-                if n > SKETCH:
+                if n > WAITING:
                     seen += np.bincount(np.concatenate(waiting), minlength=SKETCH)
                     waiting, n = [], 0
         if n:
