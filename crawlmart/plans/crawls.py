@@ -19,12 +19,9 @@ MEMBER = "/members/([^/?]+)/"
 def _fetched(users: DataFrame, responses: DataFrame, kind: str) -> DataFrame:
     """Responses on the chains that start at the users' first pages, with their user and the
     chain's first page. Of a page that was fetched several times the first one counts."""
-    once = runtime.materialize(
-        keyed.first_write_wins(responses.select("url", "resp_seq"), "url", ["resp_seq"]), "once"
-    )
+    once = keyed.first_write_wins(responses.select("url", "resp_seq"), "url", ["resp_seq"])
     starts = paging.seed_urls(users, kind).select("url", "slug")
-    links = extract.paging(responses.join(once.select("resp_seq"), "resp_seq", "left_semi"))
-    reached = paging.cursor_pages(starts, links)
+    reached = paging.cursor_pages(starts, extract.paging(responses))
     # One user may own a large share of the pages, so the lookup by chain is a balanced one;
     # the joins by address and number are between unique keys.
     roots = starts.select(F.col("url").alias("root"), F.col("slug").alias("owner"))
