@@ -40,6 +40,8 @@ def lots(texts: pa.Array, lot: int = LOT) -> Iterator[tuple[int, int, np.ndarray
     """Cuts an Arrow string array into lots: (first row, number of rows, UTF-8 bytes, place of
     each row's first byte). A text larger than a lot comes in several lots of one row each,
     cut behind a blank if there is one. Null is empty."""
+    if not len(texts):
+        return
     if pa.types.is_large_string(texts.type):
         offsets = np.frombuffer(texts.buffers()[1], np.int64)
     else:
