@@ -67,6 +67,11 @@ ENDS_LIKE = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: They make up a box of text and are none themselves.
+NO_BOX = HEADINGS | frozenset(
+    "html body p li ul ol dl dt dd blockquote pre figure figcaption table caption thead tbody "
+    "tfoot tr hr address center".split()
+)
 SPACE = re.compile(r"\s+")
 CUT_OFF = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")  # a tag that the page's end cuts off
 
@@ -76,6 +81,7 @@ class Ratio:
     radius: int = 2  # lines on either side that the smoothing reaches
     sigma: float = 1.0
     rounds: int = 20  # of the clustering, at most
+    full: float = 50.0  # characters to a tag, from which more are no further evidence of text
     apart: float = 4.0  # times that one mean is of the other, if there are two clusters
     link_share: float = 0.8  # of a line's characters, from which it is a list of links
 
@@ -88,6 +94,7 @@ class Line:
     barred: bool = False
     article: bool = False
     heading: bool = False
+    box: int = 0
 
     def joined(self) -> str:
         return SPACE.sub(" ", "".join(self.text)).strip()
@@ -121,13 +128,19 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines = [Line()]
-        self.open: list[tuple[str, bool, bool, bool]] = []  # tag, barred, article, silent
+        #: tag, barred, article, silent, box around it
+        self.open: list[tuple[str, bool, bool, bool, int]] = []
+        self.boxes = [0]  # of each box the one around it
+        self.box = 0
         self.depth: Counter[str] = Counter()  # how many of each tag are open
         self.barred = self.articles = self.silent = self.links = 0
 
     def _push(self, tag: str, barred: bool, article: bool) -> None:
         silent = tag in SILENT
-        self.open.append((tag, barred, article, silent))
+        self.open.append((tag, barred, article, silent, self.box))
+        if tag not in INLINE and tag not in NO_BOX:
+            self.boxes.append(self.box)
+            self.box = len(self.boxes) - 1
         self.depth[tag] += 1
         self.barred += barred
         self.articles += article
@@ -135,7 +148,7 @@ class _Lines(HTMLParser):
         self.links += tag == "a"
 
     def _pop(self) -> None:
-        tag, barred, article, silent = self.open.pop()
+        tag, barred, article, silent, self.box = self.open.pop()
         self.depth[tag] -= 1
         self.barred -= barred
         self.articles -= article
@@ -154,6 +167,7 @@ class _Lines(HTMLParser):
             self.lines.append(Line())
         self.lines[-1].barred = bool(self.barred)
         self.lines[-1].article = bool(self.articles)
+        self.lines[-1].box = self.box
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.silent:
@@ -208,7 +222,7 @@ def smoothed(values: list[float], ratio: Ratio) -> list[float]:
 
 
 def threshold(values: list[float], ratio: Ratio) -> float:
-    """Half way between the two means of the values; 0 if they are no two clusters."""
+    """Half way between the two means of the logarithms; below all if they are no two clusters."""
     low, high = min(values), max(values)
     for _ in range(ratio.rounds):
         cut = (low + high) / 2
@@ -218,7 +232,24 @@ def threshold(values: list[float], ratio: Ratio) -> float:
         if new == (low, high):
             break
         low, high = new
-    return (low + high) / 2 if high > ratio.apart * low else 0.0
+    return (low + high) / 2 if high - low > math.log(ratio.apart) else -math.inf
+
+
+def boxes_of(lines: list[Line], around: list[int]) -> list[int]:
+    """The box of each line. A box with one line belongs to the box around it, if that is none
+    of the page's own."""
+    held = [0] * len(around)
+    for line in lines:
+        held[line.box] += 1
+    for box in range(len(around) - 1, 0, -1):
+        held[around[box]] += held[box]
+    out = []
+    for line in lines:
+        box = line.box
+        while held[box] == 1 and around[box]:
+            box = around[box]
+        out.append(box)
+    return out
 
 
 def main_text(page: str | None, ratio: Ratio = Ratio()) -> str:
@@ -238,18 +269,20 @@ def main_text(page: str | None, ratio: Ratio = Ratio()) -> str:
     article = [(x, text) for x, text in lines if x.article]
     if article:
         return " ".join(text for x, text in article if not links_only(x, text))
-    dense = smoothed([len(text) / max(1, x.tags) for x, text in lines], ratio)
+    ratios = [len(text) / max(1, x.tags) for x, text in lines]
+    dense = smoothed([math.log1p(min(r, ratio.full)) for r in ratios], ratio)
     cut = threshold(dense, ratio)
     chosen = [i for i, v in enumerate(dense) if v >= cut and not links_only(*lines[i])]
     if not chosen:
         return ""
-    # Short lines between content and headings above it belong to its region; lists of links
-    # do not.
-    first = chosen[0]
-    while first and lines[first - 1][0].heading:
-        first -= 1
-    region = range(first, chosen[-1] + 1)
-    return " ".join(lines[i][1] for i in region if not links_only(*lines[i]))
+    # Short lines between content, in a box with content, and headings above it belong to its
+    # region; lists of links do not.
+    boxes = boxes_of([x for x, _ in lines], parser.boxes)
+    full = {boxes[i] for i in chosen}
+    taken = [chosen[0] <= i <= chosen[-1] or box in full for i, box in enumerate(boxes)]
+    for i in range(len(lines) - 2, -1, -1):
+        taken[i] = taken[i] or lines[i][0].heading and taken[i + 1]
+    return " ".join(lines[i][1] for i, x in enumerate(taken) if x and not links_only(*lines[i]))
 
 
 def extract(pages: DataFrame, ratio: Ratio = Ratio()) -> DataFrame:

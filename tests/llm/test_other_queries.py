@@ -65,6 +65,27 @@ def test_main_text(page, wanted):
     assert main_text(page) == wanted
 
 
+def paragraphs(*sizes):
+    """Paragraphs of about so many characters, each with words of its own."""
+    texts = [" ".join(f"p{k}w{i}" for i in range(max(1, n // 6))) for k, n in enumerate(sizes)]
+    return texts, "".join(f"<p>{t}</p>" for t in texts)
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        [200] * 10 + [20_000] + [200] * 10,
+        [20_000] + [200] * 20,
+        [30, 600, 20, 9_000, 40, 15, 300, 10],
+        [10, 20, 5_000, 5_000, 30, 10],
+    ],
+)
+def test_uneven_paragraphs_of_an_unmarked_page_stay(sizes):
+    texts, inside = paragraphs(*sizes)
+    page = f"<nav>no</nav><div><a>Menu</a></div><div id='c'>{inside}</div><footer>no</footer>"
+    assert main_text(page) == " ".join(texts)
+
+
 # -- vectors ---------------------------------------------------------------------------
 def test_nearest_is_exact(spark, tmp_path):
     random = np.random.default_rng(5)
