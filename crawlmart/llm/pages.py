@@ -5,9 +5,10 @@ line knows its characters, its tags and its characters inside links, and whether
 a part that is never content: menus, headers, footers, sidebars, forms, scripts, comments of
 readers and the like, by tag, role, or the words of class and id. The ratio of characters to
 tags is smoothed over neighbouring lines by a Gaussian, and a two-means clustering of the
-smoothed ratios gives the threshold of content. Regions are runs of blocks with content in
-them; where a page marks its article, only that is considered, and lines in it go only when
-they are links without text of their own.
+smoothed ratios gives the threshold of content. Where a page marks articles, each adds to the
+score of its lines what its text weighs against the text outside of all marks, and nothing if
+it is a small part, such as a teaser. Regions are the marked articles, boxes and runs of
+blocks with content in them; only lists of links go from a region.
 
 Defined results: a null or empty page has no text; equal rows give equal results; broken
 markup is read as far as the parser reads it, and all of a page is read; further columns are
@@ -83,7 +84,9 @@ class Ratio:
     rounds: int = 20  # of the clustering, at most
     full: float = 50.0  # characters to a tag, from which more are no further evidence of text
     apart: float = 4.0  # times that one mean is of the other, if there are two clusters
-    link_share: float = 0.8  # of a line's characters, from which it is a list of links
+    link_share: float = 0.8  # of a line's characters, from which it is a link
+    mark: float = 4.0  # added to the logarithm in an article as large as the unmarked text
+    slope: float = 3.0  # of that, by the logarithm of the article's size against that text
 
 
 @dataclass
@@ -92,7 +95,7 @@ class Line:
     tags: int = 0
     linked: int = 0
     barred: bool = False
-    article: bool = False
+    article: int = 0  # number of the outermost marked article around it
     heading: bool = False
     box: int = 0
 
@@ -134,6 +137,7 @@ class _Lines(HTMLParser):
         self.box = 0
         self.depth: Counter[str] = Counter()  # how many of each tag are open
         self.barred = self.articles = self.silent = self.links = 0
+        self.article = 0  # number of the last outermost marked article
 
     def _push(self, tag: str, barred: bool, article: bool) -> None:
         silent = tag in SILENT
@@ -143,6 +147,7 @@ class _Lines(HTMLParser):
             self.box = len(self.boxes) - 1
         self.depth[tag] += 1
         self.barred += barred
+        self.article += article and not self.articles
         self.articles += article
         self.silent += silent
         self.links += tag == "a"
@@ -166,7 +171,7 @@ class _Lines(HTMLParser):
         if line.text or line.tags:
             self.lines.append(Line())
         self.lines[-1].barred = bool(self.barred)
-        self.lines[-1].article = bool(self.articles)
+        self.lines[-1].article = self.article if self.articles else 0
         self.lines[-1].box = self.box
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -252,6 +257,19 @@ def boxes_of(lines: list[Line], around: list[int]) -> list[int]:
     return out
 
 
+def priors(lines: list[tuple[Line, str]], ratio: Ratio) -> dict[int, float]:
+    """What each marked article adds to the score of its lines."""
+    size: Counter[int] = Counter()
+    for x, text in lines:
+        size[x.article] += max(0, len(text) - x.linked)
+    out = {0: 0.0}
+    for article, n in size.items():
+        if article:
+            against = math.log(n / size[0]) if n and size[0] else math.inf if n else -math.inf
+            out[article] = min(ratio.mark, max(0.0, ratio.mark + ratio.slope * against))
+    return out
+
+
 def main_text(page: str | None, ratio: Ratio = Ratio()) -> str:
     if not page:
         return ""
@@ -263,26 +281,39 @@ def main_text(page: str | None, ratio: Ratio = Ratio()) -> str:
     if not lines:
         return ""
 
-    def links_only(line: Line, text: str) -> bool:
-        return line.linked >= ratio.link_share * len(text)
-
-    article = [(x, text) for x, text in lines if x.article]
-    if article:
-        return " ".join(text for x, text in article if not links_only(x, text))
+    link = [x.linked >= ratio.link_share * len(text) for x, text in lines]
     ratios = [len(text) / max(1, x.tags) for x, text in lines]
     dense = smoothed([math.log1p(min(r, ratio.full)) for r in ratios], ratio)
+    prior = priors(lines, ratio)
+    dense = [v + prior[x.article] for v, (x, _) in zip(dense, lines, strict=True)]
     cut = threshold(dense, ratio)
-    chosen = [i for i, v in enumerate(dense) if v >= cut and not links_only(*lines[i])]
-    if not chosen:
-        return ""
-    # Short lines between content, in a box with content, and headings above it belong to its
-    # region; lists of links do not.
+    chosen = [i for i, v in enumerate(dense) if v >= cut and not link[i]]
+    # Short lines between content, in a box or an article with content, and headings above it
+    # belong to its region.
     boxes = boxes_of([x for x, _ in lines], parser.boxes)
-    full = {boxes[i] for i in chosen}
-    taken = [chosen[0] <= i <= chosen[-1] or box in full for i, box in enumerate(boxes)]
+    full = {(lines[i][0].article, boxes[i]) for i in chosen}
+    ends: dict[int, tuple[int, int]] = {}
+    for i in chosen:
+        article = lines[i][0].article
+        ends[article] = (ends.get(article, (i, i))[0], i)
+    taken = []
+    for i, (x, _) in enumerate(lines):
+        first, last = ends.get(x.article, (i + 1, i))
+        within = first <= i <= last or (x.article, boxes[i]) in full
+        taken.append(within or first <= last and prior[x.article] > 0)
     for i in range(len(lines) - 2, -1, -1):
-        taken[i] = taken[i] or lines[i][0].heading and taken[i + 1]
-    return " ".join(lines[i][1] for i, x in enumerate(taken) if x and not links_only(*lines[i]))
+        same = lines[i][0].article == lines[i + 1][0].article
+        taken[i] = taken[i] or lines[i][0].heading and same and taken[i + 1]
+    # Lists of links do not; one link between lines of text does, and a heading that is one.
+    text_at = [x and not y for x, y in zip(taken, link, strict=True)]
+
+    def stays(i: int) -> bool:
+        if not taken[i] or not link[i]:
+            return taken[i]
+        near = [k for k in (i - 1, i + 1) if 0 <= k < len(lines) and text_at[k]]
+        return len(near) == 2 or lines[i][0].heading and i + 1 in near
+
+    return " ".join(text for i, (_, text) in enumerate(lines) if stays(i))
 
 
 def extract(pages: DataFrame, ratio: Ratio = Ratio()) -> DataFrame:

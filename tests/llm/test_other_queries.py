@@ -86,6 +86,33 @@ def test_uneven_paragraphs_of_an_unmarked_page_stay(sizes):
     assert main_text(page) == " ".join(texts)
 
 
+def test_teasers_do_not_hide_the_text_of_a_page():
+    texts, inside = paragraphs(300, 40, 800, 250, 15)
+    teaser = "<article><h3><a href='/x'>Other news</a></h3><p>Short.</p></article>"
+    for page in (
+        f"<div>{inside}</div><div>{teaser * 4}</div>",
+        f"<div>{teaser * 4}</div><div id='c'>{inside}</div>",
+        f"<div id='c'>{inside}</div><div role='main'>Teaser</div>",
+    ):
+        assert " ".join(texts) in main_text(page)
+    assert main_text(f"<div>{inside}</div><div>{teaser * 4}</div>") == " ".join(texts)
+
+
+def test_a_link_among_the_text_of_an_article_stays():
+    texts, inside = paragraphs(300, 200)
+    between = f"<p>{texts[0]}</p><p><a>The paper that all of this is about</a></p><p>{texts[1]}</p>"
+    wanted = f"{texts[0]} The paper that all of this is about {texts[1]}"
+    links = "<ul><li><a>one</a></li><li><a>two</a></li></ul>"
+    assert main_text(f"<article>{between}{links}</article>") == wanted
+    assert main_text(f"<div>{between}{links}</div>") == wanted
+
+
+def test_a_marked_article_outweighs_other_dense_text():
+    texts, inside = paragraphs(300, 20, 200)
+    other = "<div>" + "Words about the site that stand on each of its pages. " * 3 + "</div>"
+    assert main_text(f"{other}<article>{inside}</article>{other}") == " ".join(texts)
+
+
 # -- vectors ---------------------------------------------------------------------------
 def test_nearest_is_exact(spark, tmp_path):
     random = np.random.default_rng(5)
