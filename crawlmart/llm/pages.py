@@ -2,8 +2,10 @@
 
 The parser of the standard library streams a page's events. Block tags cut it into lines; each
 line knows its characters, its tags and its characters inside links, and whether it stands in
-a part that is never content: menus, headers, footers, sidebars, forms, scripts, comments of
-readers and the like, by tag, role, or the words of class and id. The ratio of characters to
+a part that is no content: menus, headers, footers, sidebars, forms, scripts, comments of
+readers and the like. Tag, role and the words of class and id are evidence for that, and the
+share of the page's text that the part holds, or of an article in it, is evidence against it.
+The ratio of characters to
 tags is smoothed over neighbouring lines by a Gaussian, and a two-means clustering of the
 smoothed ratios gives the threshold of content. Where a page marks articles, each adds to the
 score of its lines what its text weighs against the text outside of all marks, and nothing if
@@ -56,6 +58,11 @@ WORDS = frozenset(
     "recommendations comment comments disqus replies respond widget toolbar pagination pager "
     "skip copyright legal tags".split()
 )
+#: The others of the tags, roles and words above also stand at wrappers of whole pages.
+WEAK = frozenset("form fieldset".split())
+STRONG_WORDS = frozenset("comment comments disqus replies respond".split())
+#: What a class has, or has not, it is not itself.
+MODIFIERS = frozenset("has with no without".split())
 ARTICLE = frozenset("article main".split())
 #: An open paragraph ends where one of these begins.
 ENDS_P = frozenset(
@@ -85,6 +92,9 @@ class Ratio:
     full: float = 50.0  # characters to a tag, from which more are no further evidence of text
     apart: float = 4.0  # times that one mean is of the other, if there are two clusters
     link_share: float = 0.8  # of a line's characters, from which it is a link
+    strong: float = 20.0  # times the text outside of strong marks that one must hold to count
+    spare: int = 10  # characters that are added to that text
+    held: float = 8.0  # times that the text of an article inside a part weighs more
     mark: float = 4.0  # added to the logarithm in an article as large as the unmarked text
     slope: float = 3.0  # of that, by the logarithm of the article's size against that text
 
@@ -94,8 +104,9 @@ class Line:
     text: list[str] = field(default_factory=list)
     tags: int = 0
     linked: int = 0
-    barred: bool = False
+    bar: int = 0  # number of the innermost part around it that is marked as no content
     article: int = 0  # number of the outermost marked article around it
+    inner: int = 0  # of the innermost
     heading: bool = False
     box: int = 0
 
@@ -103,26 +114,39 @@ class Line:
         return SPACE.sub(" ", "".join(self.text)).strip()
 
 
-def _marks(tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
-    """(no content, article) of a start tag."""
-    barred, article = tag in NOT_CONTENT, tag in ARTICLE
+def _words(value: str) -> set[str]:
+    """Words of a class or id, without those that follow a modifier."""
+    out: set[str] = set()
+    for token in value.split():
+        words = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+        for word in words:
+            if word in MODIFIERS:
+                break
+            out.add(word)
+    return out
+
+
+def _marks(tag: str, attrs: list[tuple[str, str | None]]) -> tuple[int, bool]:
+    """(no content: 0 no mark, 1 weak, 2 strong; article) of a start tag."""
+    bar, article = 0, tag in ARTICLE
+    if tag in NOT_CONTENT:
+        bar = 1 if tag in WEAK else 2
     for name, value in attrs:
-        if not value:
-            barred = barred or name == "hidden"
-            continue
-        if name == "role":
-            barred = barred or value.strip().lower() in ROLES
-            article = article or value.strip().lower() in ARTICLE
+        word = (value or "").strip().lower()
+        if name == "hidden":
+            bar = 2
+        elif name == "role":
+            if word in ROLES:
+                bar = max(bar, 1 if word in WEAK else 2)
+            article = article or word in ARTICLE
         elif name in ("class", "id"):
-            words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
-            barred = barred or bool(words & WORDS)
-        elif name == "aria-hidden":
-            barred = barred or value.strip().lower() == "true"
-        elif name == "style":
-            barred = barred or bool(re.search(r"display\s*:\s*none", value))
-        elif name == "hidden":
-            barred = True
-    return barred and tag not in ("body", "html"), article
+            words = _words(value or "")
+            bar = max(bar, 2 if words & STRONG_WORDS else 1 if words & WORDS else 0)
+        elif name == "aria-hidden" and word == "true":
+            bar = 2
+        elif name == "style" and re.search(r"display\s*:\s*none", value or ""):
+            bar = 2
+    return bar if tag not in ("body", "html") else 0, article
 
 
 class _Lines(HTMLParser):
@@ -131,31 +155,40 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines = [Line()]
-        #: tag, barred, article, silent, box around it
-        self.open: list[tuple[str, bool, bool, bool, int]] = []
+        #: tag, article, silent, and the bar, the box and the article around it
+        self.open: list[tuple[str, bool, bool, int, int, int]] = []
+        self.bars = [(0, 0, 0)]  # of each its strength, and the bar and the article around it
+        self.bar = 0
+        self.marked = [0]  # of each article the bar it is to be weighed for
+        self.inner = 0
         self.boxes = [0]  # of each box the one around it
         self.box = 0
         self.depth: Counter[str] = Counter()  # how many of each tag are open
-        self.barred = self.articles = self.silent = self.links = 0
+        self.articles = self.silent = self.links = 0
         self.article = 0  # number of the last outermost marked article
 
-    def _push(self, tag: str, barred: bool, article: bool) -> None:
+    def _push(self, tag: str, bar: int, article: bool) -> None:
         silent = tag in SILENT
-        self.open.append((tag, barred, article, silent, self.box))
+        self.open.append((tag, article, silent, self.bar, self.box, self.inner))
+        around = self.bar
+        if bar:
+            self.bars.append((bar, around, self.inner))
+            self.bar = len(self.bars) - 1
+        if article:  # a strong mark at an article itself is about the article
+            self.marked.append(around if bar == 2 else self.bar)
+            self.inner = len(self.marked) - 1
         if tag not in INLINE and tag not in NO_BOX:
             self.boxes.append(self.box)
             self.box = len(self.boxes) - 1
         self.depth[tag] += 1
-        self.barred += barred
         self.article += article and not self.articles
         self.articles += article
         self.silent += silent
         self.links += tag == "a"
 
     def _pop(self) -> None:
-        tag, barred, article, silent, self.box = self.open.pop()
+        tag, article, silent, self.bar, self.box, self.inner = self.open.pop()
         self.depth[tag] -= 1
-        self.barred -= barred
         self.articles -= article
         self.silent -= silent
         self.links -= tag == "a"
@@ -170,14 +203,15 @@ class _Lines(HTMLParser):
         line = self.lines[-1]
         if line.text or line.tags:
             self.lines.append(Line())
-        self.lines[-1].barred = bool(self.barred)
+        self.lines[-1].bar = self.bar
         self.lines[-1].article = self.article if self.articles else 0
+        self.lines[-1].inner = self.inner
         self.lines[-1].box = self.box
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.silent:
             if self.open[-1][0] == tag and tag not in VOID:
-                self._push(tag, False, False)
+                self._push(tag, 0, False)
             elif tag != "body" or not self.depth["head"]:
                 return
             else:  # a head that was never closed ends at the body
@@ -186,10 +220,10 @@ class _Lines(HTMLParser):
             self._pop()
         elif tag in ENDS_LIKE and self.open and self.open[-1][0] in ENDS_LIKE[tag]:
             self._pop()
-        barred, article = _marks(tag, attrs)
+        bar, article = _marks(tag, attrs)
         if tag not in VOID:
-            self._push(tag, barred, article)
-        if tag not in INLINE or barred:
+            self._push(tag, bar, article)
+        if tag not in INLINE or bar:
             self._new_line()
         self.lines[-1].tags += 1
         self.lines[-1].heading = self.lines[-1].heading or tag in HEADINGS
@@ -202,7 +236,7 @@ class _Lines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in VOID:
             return
-        block = tag not in INLINE or any(t == tag and b for t, b, *_ in self.open[-1:])
+        block = tag not in INLINE or any(x[0] == tag and x[3] != self.bar for x in self.open[-1:])
         self.lines[-1].tags += 1
         self._close(tag)
         if block and not self.silent:
@@ -257,6 +291,50 @@ def boxes_of(lines: list[Line], around: list[int]) -> list[int]:
     return out
 
 
+def no_content(lines: list[tuple[Line, str]], parser: _Lines, ratio: Ratio) -> list[bool]:
+    """Whether each bar holds, strong ones first. One does not where its part, or an article in
+    it, holds so much of the text that its marks cannot be about the content; an article
+    elsewhere counts for more than its text. Weak bars that would leave no text do not hold
+    either."""
+    bars = parser.bars
+    sizes = [max(0, len(text) - x.linked) for x, text in lines]
+    within = [False] * len(bars)  # a part with strong marks
+    for b, (strength, around, _) in enumerate(bars):
+        within[b] = strength == 2 or within[around]
+    free = sum(n for (x, _), n in zip(lines, sizes, strict=True) if not within[x.bar])
+    holds, strong = [False] * len(bars), [False] * len(bars)
+    for level in (2, 1):
+        whole, marked = [0] * len(bars), [0] * len(parser.marked)
+        for (x, _), n in zip(lines, sizes, strict=True):
+            if not holds[x.bar]:
+                whole[x.bar] += n
+                marked[x.inner] += n
+        total, left, article = sum(whole), list(whole), [0] * len(bars)
+        for n, b in zip(marked[1:], parser.marked[1:], strict=True):
+            article[b] = max(article[b], n)
+        inside, most = list(article), max(article)  # largest articles, in whatever holds
+        for b in range(len(bars) - 1, 0, -1):
+            strength, around, in_article = bars[b]
+            if strength == level and not holds[b]:
+                other = ratio.strong * (free + ratio.spare) if level == 2 else 0.0
+                if not in_article and most > inside[b]:
+                    other = max(other, ratio.held * most)
+                rest = (0, 0) if level == 2 else (total - whole[b], total - article[b])
+                much = left[b] > max(other, rest[0]) or ratio.held * article[b] > max(other, rest[1])
+                holds[b] = not much
+            whole[around] += whole[b]
+            inside[around] = max(inside[around], inside[b])
+            if not holds[b]:
+                left[around] += left[b]
+                article[around] = max(article[around], article[b])
+        for b, (_, around, _) in enumerate(bars):
+            holds[b] = holds[b] or holds[around]
+        if level == 2:
+            strong = list(holds)
+    some = any(n and not holds[x.bar] for (x, _), n in zip(lines, sizes, strict=True))
+    return holds if some else strong
+
+
 def priors(lines: list[tuple[Line, str]], ratio: Ratio) -> dict[int, float]:
     """What each marked article adds to the score of its lines."""
     size: Counter[int] = Counter()
@@ -277,7 +355,9 @@ def main_text(page: str | None, ratio: Ratio = Ratio()) -> str:
     parser.feed(CUT_OFF.sub("", page))
     parser.close()
     lines = [(x, x.joined()) for x in parser.lines]
-    lines = [(x, text) for x, text in lines if text and not x.barred]
+    lines = [(x, text) for x, text in lines if text]
+    barred = no_content(lines, parser, ratio)
+    lines = [(x, text) for x, text in lines if not barred[x.bar]]
     if not lines:
         return ""
 

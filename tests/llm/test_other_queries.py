@@ -113,6 +113,42 @@ def test_a_marked_article_outweighs_other_dense_text():
     assert main_text(f"{other}<article>{inside}</article>{other}") == " ".join(texts)
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "<form id='aspnetForm'>", "<form><div class='sidebar-page'>", "<div class='layout has-sidebar'>",
+        "<div class='content with-sidebar'>", "<div class='page sticky-header'>",
+        "<div id='main-widget'>", "<div class='post comments-open'>", "<div class='noAds hasSidebar'>",
+        "<section class='social legal'><div class='share'>", "<aside>", "<main class='skip search'>",
+    ],
+)
+@pytest.mark.parametrize("inner", ["<div>", "<article>"])
+def test_a_mark_at_a_wrapper_does_not_bar_the_text(wrapper, inner):
+    texts, inside = paragraphs(300, 40, 800, 250)
+    end = "".join(f"</{x}>" for x in reversed(re.findall(r"<([a-z]+)", wrapper + inner)))
+    page = (
+        f"<body class='has-footer'><nav>no</nav>{wrapper}<div class='sidebar'>no no</div>{inner}{inside}"
+        f"<form>no<input></form><div class='comments'><p>{LONG}</p></div>{end}<footer>no</footer></body>"
+    )
+    assert main_text(page) == " ".join(texts)
+
+
+def test_an_article_in_a_part_with_a_mark_stays():
+    texts, inside = paragraphs(100, 40)
+    other = f"<div id='c'><p>{LONG}</p><p>{LONG}</p></div>"
+    page = f"{other}<div class='widget'><article>{inside}</article></div>"
+    assert " ".join(texts) in main_text(page)
+
+
+def test_marks_bar_parts_that_are_small():
+    texts, inside = paragraphs(300, 40, 800, 250)
+    parts = "".join(
+        f"<div class='{x}'><p>{LONG}</p></div>" for x in ("sidebar", "related has-img", "comments", "cookie")
+    )
+    page = f"{parts}<div>{inside}</div>{parts}<article class='comment'>{LONG * 30}</article>"
+    assert main_text(page) == " ".join(texts)
+
+
 # -- vectors ---------------------------------------------------------------------------
 def test_nearest_is_exact(spark, tmp_path):
     random = np.random.default_rng(5)
