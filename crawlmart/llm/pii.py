@@ -1,8 +1,9 @@
 """Personal data: patterns, made consistent over a document by a skip-chain random field.
 
 Patterns with checks find e-mail addresses, IP addresses, card and phone numbers. They are
-evidence for a conditional random field over the tokens that have a digit or an @: neighbours
-share a chain potential, distant tokens that are equal or similar (the same last seven digits,
+evidence for a conditional random field over the tokens that have a digit or an @, where
+groups of digits that are written apart make up one token if they end like a match:
+neighbours share a chain potential, distant tokens that are equal or similar (the same last seven digits,
 or the same text in lower case) a skip potential. Loopy message passing then labels the rest;
 a token without a match of its own is reported where the field is sure of its label.
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,6 +45,10 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TOKEN = re.compile(r"[A-Za-z0-9._%+@-]+")
 HINT = re.compile(r"[0-9@]")
+RUN = re.compile(r"[0-9]+(?:[\x20.()-]{1,3}[0-9]+)+")
+GROUP = re.compile(r"[0-9]+")
+DOTTED = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
+LIKE, MOST = 7, 19  # last digits that similar numbers share; digits of a number at most
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -109,8 +115,8 @@ class Field:
 
 def _key(token: str) -> str | None:
     digits = _digits(token)
-    if len(digits) >= 7 and "@" not in token:
-        return digits if token.count(".") == 3 else digits[-7:]
+    if len(digits) >= LIKE and "@" not in token:
+        return digits if DOTTED.fullmatch(token) else digits[-LIKE:]
     return token.lower() if len(token) >= 5 and "@" in token else None
 
 
@@ -126,15 +132,83 @@ def _features(token: str, before: str, word: str) -> list[int]:
     return [zlib.crc32(x.encode()) % FEATURES for x in names]
 
 
-def field_of(text: str, spans: list[Span]) -> Field:
-    out, last, word, k = Field([], [], [], [], [], []), {}, "", 0
+def runs_of(text: str, spans: list[Span]) -> list[tuple[int, int]]:
+    """Runs of digit groups outside of the matches that end like a matched card or phone
+    number. A run goes back over the groups that agree with the match, and over those that a
+    hyphen, dot or bracket binds to the next."""
+    known = {_digits(text[a:e]) for a, k, e in spans if KINDS[k] in ("card", "phone")}
+    ends = {d[-n:] for d in known for n in range(LIKE, min(len(d), MOST) + 1)}
+    out: list[tuple[int, int]] = []
+    if not ends:
+        return out
+    begins, upto = [a for a, _, _ in spans], [0]
+    for _, _, e in spans:
+        upto.append(max(upto[-1], e))
+    for m in RUN.finditer(text):
+        groups = [(g.start(), g.end()) for g in GROUP.finditer(text, m.start(), m.end())]
+        j, found = len(groups) - 1, []
+        while j > 0:
+            i, digits = j + 1, ""
+            while i and len(digits) < MOST:
+                i -= 1
+                a, e = groups[i]
+                digits = text[max(a, e - MOST) : e] + digits
+            same = max((n for n in range(LIKE, MOST + 1) if digits[-n:] in ends), default=0)
+            i, n = j, groups[j][1] - groups[j][0]
+            while same and i:
+                between = text[groups[i - 1][1] : groups[i][0]]
+                size = groups[i - 1][1] - groups[i - 1][0]
+                bound = (" " not in between or ")" in between) and n + size <= 15
+                if n >= same and not bound:
+                    break
+                i, n = i - 1, n + size
+            start, end = groups[i][0], groups[j][1]
+            if start and text[start - 1] == "(" and ")" in text[start:end]:
+                start -= 1
+            if same and i < j and upto[bisect_right(begins, end - 1)] <= start:
+                found.append((start, end))
+                j = i
+            j -= 1
+        out += reversed(found)
+    return out
+
+
+def tokens_of(text: str, spans: list[Span]) -> Iterator[tuple[int, int, str]]:
+    """Start, end and the word before of each token with a digit or an @. Where a matched card
+    or phone number or a run has several tokens, it is one."""
+    wholes = [(a, e) for a, k, e in spans if KINDS[k] in ("card", "phone")]
+    wholes = sorted({*wholes, *runs_of(text, spans)})
+    word, k, held = "", 0, []
+
+    def release() -> Iterator[tuple[int, int, str]]:
+        if len(held) > 1:
+            yield (*wholes[k], held[0][2])
+        else:
+            yield from held
+        held.clear()
+
     for m in TOKEN.finditer(text):
         token = m[0].strip(".-_%")
         if not HINT.search(token):
             word = token.lower() or word
             continue
         start = m.start() + m[0].index(token)
-        end, i = start + len(token), len(out.start)
+        end = start + len(token)
+        while k < len(wholes) and wholes[k][1] <= start:
+            yield from release()
+            k += 1
+        if k < len(wholes) and wholes[k][0] < end:
+            held.append((start, end, word))
+        else:
+            yield start, end, word
+    if k < len(wholes):
+        yield from release()
+
+
+def field_of(text: str, spans: list[Span]) -> Field:
+    out, last, k = Field([], [], [], [], [], []), {}, 0
+    for start, end, word in tokens_of(text, spans):
+        token, i = text[start:end], len(out.start)
         while k < len(spans) and spans[k][2] <= start:
             k += 1
         hit = spans[k] if k < len(spans) and spans[k][0] < end else None

@@ -251,6 +251,40 @@ def test_skip_chain_adds_what_is_similar_to_a_match():
     assert pii.spans_of(clean, model) == ([], [])
 
 
+@pytest.mark.parametrize(
+    ("match", "again"),
+    [
+        ("+44 20 7946 0958", "020 7946 0958"),
+        ("+44 20 7946 0958", "(020) 7946 0958"),
+        ("+44 20 7946 0958", "0044 20 7946 0958"),
+        ("+442079460958", "020.7946.0958"),
+        ("+1 (974) 555-3436", "(974) 555-3436"),
+        ("+1 (974) 555-3436", "974 555 3436"),
+        ("+1 974-555-3436", "(974)555-3436"),
+        ("4111 1111 1111 1111", "4111.1111.1111.1111"),
+    ],
+)
+def test_numbers_written_in_groups_are_found_again(spark, match, again):
+    texts = [
+        f"call +1 ({200 + i}) 555-{1000 + i} or +1 ({200 + i}) 555-{1000 + i} or x{i}@mail.example.org "
+        f"for 10.1.2.{i % 200}, room {i % 50}, card 4111 1111 1111 1111 is 4111 1111 1111 1111 of {i * 7919} pieces"
+        for i in range(200)
+    ]
+    model = pii.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    for text in (f"ring {match} today; later {again}, and 12 34 567 89 of 77 pieces",
+                 f"first {again} in 2024 then {match}", f"({match}) or {again}."):
+        base, every = pii.spans_of(text, model)
+        assert [text[a:b] for a, _, b in base] == [match]
+        assert {text[a:b] for a, _, b in every} == {match, again}
+        assert len({k for _, k, _ in every}) == 1
+
+
+def test_runs_end_with_the_number_and_not_before_or_behind_it():
+    text = "ring +44 20 7946 0958 or in 2024 020 7946 0958 12 times, not 020 7946 0959 or 10.7.946.958"
+    assert [text[a:b] for a, b in pii.runs_of(text, pii.base_spans(text))] == ["020 7946 0958"]
+    assert pii.runs_of("12 34 " * 100_000, [(0, 3, 5)]) == []
+
+
 # -- the pipeline ----------------------------------------------------------------------
 def hashed(*values):
     """Spark's hash of a row of longs and strings; null leaves it as it is."""
