@@ -159,8 +159,11 @@ def plan(docs: DataFrame, mix: Mix = Mix()) -> tuple[DataFrame, DataFrame]:
 
 
 def taken(placed: DataFrame, mixed: DataFrame) -> DataFrame:
-    """Each placed row with ``taken``, the words that the mix takes of it, repeats counted."""
-    got = mixed.groupBy("id", "at").agg(F.sum("words").alias("taken"))
+    """Each placed row with ``taken``, the words that the mix takes of it, repeats counted, and
+    ``first_slot``, where the mix first takes some, or null."""
+    got = mixed.groupBy("id", "at").agg(
+        F.sum("words").alias("taken"), F.min("slot").alias("first_slot")
+    )
     got = got.withColumn("worded", F.lit(True))
     out = placed.withColumn("worded", F.col("size") > 0).join(got, ["id", "at", "worded"], "left")
     return out.withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long")).drop("worded")

@@ -29,7 +29,7 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     placed, mixed = mixing.plan(docs)
     return mixing.taken(placed, mixed).select(
-        "doc_id", "source", "size", "source_size", "target", "taken"
+        "doc_id", "source", "size", "source_size", "target", "taken", "first_slot"
     )
 
 

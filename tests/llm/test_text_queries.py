@@ -15,6 +15,7 @@ import brute  # noqa: E402
 
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from check import compare, duck  # noqa: E402
+from crawlmart.llm import mixing  # noqa: E402
 from crawlmart.llm.queries import ORACLES, QUERIES, tokenizer_path  # noqa: E402
 
 
@@ -66,6 +67,29 @@ def test_mix_reaches_its_targets(spark, odd_dir, odd):
     assert sorted(found, key=key) == sorted(again, key=key)
 
 
+def test_every_stretch_of_the_mix_is_near_the_weights(spark, odd_dir, odd):
+    docs = spark.read.parquet(f"{odd_dir}/documents.parquet").select("doc_id", "text", "source")
+    placed, mixed = mixing.plan(docs)
+    source = {r["id"]: r["source"] for r in rows(placed)}
+    slots = sorted({(r["slot"], source[r["id"]]) for r in rows(mixed)}, key=lambda x: x[0])
+    n, whole = len(slots), Counter(s for _, s in slots)
+    assert len({slot for slot, _ in slots}) == n > 100
+    for low in range(0, n, n // 7):
+        for high in range(low + n // 7, n + 1, n // 7):
+            part = Counter(s for _, s in slots[low:high])
+            # A stretch of van der Corput points is off by at most 2 log2(n) + 2 in an interval.
+            off = 2 * np.log2(n) + 2
+            assert all(abs(part[s] - whole[s] * (high - low) / n) <= off for s in whole)
+    found = rows(QUERIES["op1_source_mix"](spark, odd_dir))
+    first = {}
+    for r in rows(mixed):
+        key = (r["id"], r["at"], r["doc_id"])
+        first[key] = min(first.get(key, r["slot"]), r["slot"])
+    wanted = Counter((i, slot) for (_, _, i), slot in first.items())
+    got = Counter((r["doc_id"], r["first_slot"]) for r in found if r["first_slot"] is not None)
+    assert got == wanted and all((r["first_slot"] is None) == (r["taken"] == 0) for r in found)
+
+
 def test_components_are_those_of_all_pairs(spark, odd_dir, odd):
     found = rows(QUERIES["op3_jaccard_join"](spark, odd_dir))
     sets = [brute.shingles(text) for _, text, *_ in odd]
