@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlmart.llm import chat, jaccard, language, mixing, nearest, packing, pages, pii, quality, secrets
-from crawlmart.llm.common import table
+from crawlmart import runtime
+from crawlmart.llm import (
+    chat, idfiles, jaccard, language, mixing, nearest, negatives, packing, pages, periods, pii,
+    quality, secrets,
+)
+from crawlmart.llm.common import pinned, table, words_of
 from crawlmart.llm.oracles import ORACLES as ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,3 +132,65 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "valid",
         "complete",
     )
+
+
+def bytes_tokenizer_path() -> str:
+    """The vocabulary file of op11; a parameter of the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op11_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = runtime.new_dir(spark, "token-ids")
+    idfiles.write(table(spark, sf_dir, "documents"), path, bytes_tokenizer_path())
+    return idfiles.read(spark, path, ids=False)
+
+
+def with_period(docs: DataFrame) -> DataFrame:
+    """The texts that op12 is asked about: one in ten, by its id, ends in repeated words."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    text = F.col("text").cast("string")
+    docs = docs.select("doc_id", text.alias("text"), h.alias("h"), F.floor(h / 10).alias("g"))
+    docs = pinned(docs, words=F.when(F.col("h") % 10 == 0, words_of(F.col("text"))))
+    docs = pinned(docs, n=F.size("words"))
+    docs = docs.withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    docs = pinned(docs, a_=F.col("a"), p=period.cast("int"))
+    moved = F.transform(
+        "words",
+        lambda w, i: F.when(i < F.col("a_"), w).otherwise(
+            F.get("words", F.col("a_") + (i - F.col("a_")) % F.col("p"))
+        ),
+    )
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.find(with_period(table(spark, sf_dir, "documents")))
+    line = F.transform(
+        "runs",
+        lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                           r["period"].cast("string"), F.lit("\n")),
+    )
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        sha256(F.array_join(line, "")).alias("runs_sha256"),
+        sha256("collapsed").alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return negatives.mine(rows.filter("vec_id % 100 = 0"), rows)
