@@ -78,7 +78,7 @@ def test_pieces_have_the_ids_of_the_whole(text):
     assert ids.by_pieces
     wanted = ids.tokenizer.encode(text, add_special_tokens=False).ids
     for _ in range(2):  # remembered and not
-        assert np.frombuffer(ids.of(text), ids.kind).tolist() == wanted
+        assert np.frombuffer(ids.of([text])[0], ids.kind).tolist() == wanted
 
 
 def test_random_white_space_has_the_ids_of_the_whole():
@@ -87,7 +87,7 @@ def test_random_white_space_has_the_ids_of_the_whole():
     for _ in range(2000):
         text = "".join(draw.choice(list("  \n\tab1'.s é"), int(draw.integers(0, 14))))
         wanted = ids.tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(ids.of(text), ids.kind).tolist() == wanted, repr(text)
+        assert np.frombuffer(ids.of([text])[0], ids.kind).tolist() == wanted, repr(text)
 
 
 def test_another_kind_of_tokenizer_gets_whole_texts(tmp_path):
@@ -97,7 +97,7 @@ def test_another_kind_of_tokenizer_gets_whole_texts(tmp_path):
     ids = idfiles._Ids(path, 0)
     assert not ids.by_pieces
     wanted = Tokenizer.from_file(path).encode("Some  Words here", add_special_tokens=False).ids
-    assert np.frombuffer(ids.of("Some  Words here"), ids.kind).tolist() == wanted
+    assert np.frombuffer(ids.of(["Some  Words here"])[0], ids.kind).tolist() == wanted
 
 
 def test_borders_take_little_space():
