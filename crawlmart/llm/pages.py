@@ -12,9 +12,14 @@ score of its lines what its text weighs against the text outside of all marks, a
 it is a small part, such as a teaser. Regions are the marked articles, boxes and runs of
 blocks with content in them; only lists of links go from a region.
 
-Defined results: a null or empty page has no text; equal rows give equal results; broken
-markup is read as far as the parser reads it, and all of a page is read; further columns are
-ignored.
+A page is cut into text and tags before the parser gets them one by one, so that each place
+is looked at once whatever the markup: comments end at ``-->`` or, if that is missing, at the
+next ``>``, as do declarations and marked sections; a tag ends at the first ``>`` outside of
+its quoted values, or, once one has no such end, at the first of all.
+
+Defined results: a null or empty page has no text; equal rows give equal results; a tag or
+comment that the page's end cuts off is left out, with what follows its ``<``; all else of a
+page is read; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -81,7 +86,13 @@ NO_BOX = HEADINGS | frozenset(
     "tfoot tr hr address center".split()
 )
 SPACE = re.compile(r"\s+")
-CUT_OFF = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")  # a tag that the page's end cuts off
+#: What stands in them is no markup.
+RAW = re.compile(r"(?i)(?:script|style|textarea|title|iframe|xmp|noembed|noframes)\Z")
+TAG = re.compile(r"<([a-zA-Z][^\s/>]*+)")
+#: The rest of a tag; a quote that nothing closes is a character like any other.
+REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>""")
+ATTRIBUTE = re.compile(r"""([^\s/>="']++)\s*+(?:=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+""")
+TOLD = frozenset("class id role hidden aria-hidden style".split())  # attributes that are read
 
 
 @dataclass(frozen=True)
@@ -249,6 +260,54 @@ class _Lines(HTMLParser):
                 self.lines[-1].linked += len(data.strip())
 
 
+def pieces(page: str) -> Iterator[str]:
+    """The text and the tags of a page in order, each tag with the attributes that are read."""
+    n, at, quotes = len(page), 0, True
+    last, comments = page.rfind(">"), page.rfind("-->")
+    while at < n:
+        i = page.find("<", at)
+        if i < 0:
+            yield page[at:]
+            return
+        if i > at:
+            yield page[at:i]
+        kind = page[i + 1 : i + 2]
+        name = TAG.match(page, i)
+        if not name and (not kind or kind not in "/!?"):
+            yield "&lt;"
+            at = i + 1
+            continue
+        if i > last:  # the page ends inside it
+            return
+        if not name:
+            if page.startswith("<!--", i) and i + 2 <= comments:
+                at = page.find("-->", i + 2) + 3
+                continue
+            end = page.find(">", i + 1)
+            at = end + 1
+            closed = re.match(r"[a-zA-Z][^\s/>]*", page[i + 2 : end]) if kind == "/" else None
+            if closed:
+                yield f"</{closed[0]}>"
+            continue
+        rest = REST.match(page, name.end()) if quotes else None
+        if rest is None:
+            quotes = False
+            at = page.find(">", i) + 1
+        else:
+            at = rest.end()
+        written = page[name.end() : at - 1]
+        told = [
+            f' {m[1].lower()}="{(m[2] or m[3] or m[4] or "").replace(chr(34), "&quot;")}"'
+            for m in (ATTRIBUTE.finditer(written) if written and not written.isspace() else ())
+            if m[1].lower() in TOLD
+        ]
+        tag = name[1].replace('"', "").replace("'", "").replace("<", "").replace("=", "")
+        yield f"<{tag}{''.join(told)}{'/' * written.endswith('/')}>"
+        if RAW.match(tag) and not written.endswith("/"):
+            closing = re.compile(f"(?i)</{re.escape(tag)}(?=[\\s/>])").search(page, at)
+            at = closing.start() if closing else n
+
+
 def smoothed(values: list[float], ratio: Ratio) -> list[float]:
     """A Gaussian mean of each value and its neighbours."""
     reach = range(-ratio.radius, ratio.radius + 1)
@@ -352,7 +411,8 @@ def main_text(page: str | None, ratio: Ratio = Ratio()) -> str:
     if not page:
         return ""
     parser = _Lines()
-    parser.feed(CUT_OFF.sub("", page))
+    for piece in pieces(page):
+        parser.feed(piece)
     parser.close()
     lines = [(x, x.joined()) for x in parser.lines]
     lines = [(x, text) for x, text in lines if text]
