@@ -35,6 +35,9 @@ N = len(KINDS) + 1  # labels: 0 is none of them
 SAMPLE_DOCS = 50_000  # documents that are looked at for training, about
 SAMPLE_TOKENS = 20_000  # tokens that are trained on, at most
 FEATURES = 1 << 12
+STRIP = 1 << 14  # messages that are worked on together
+PRIOR = 10.0  # pairs of labels that are expected before any is seen
+ALIKE = 0.99  # share of like tokens that are expected to have one label
 SURE = 0.9  # probability from which a token is reported
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -238,12 +241,15 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
-def _potential(pairs: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Log of how much more often two labels meet than by chance."""
-    counts = np.full((N, N), 0.05)
-    np.add.at(counts, (pairs[:, 0], pairs[:, 1]), 1)
-    counts = counts + counts.T
-    return np.log(counts / counts.sum()) - np.log(share)[:, None] - np.log(share)[None, :]
+def _potential(pairs: np.ndarray, share: np.ndarray, alike: float) -> np.ndarray:
+    """Log of how much more often two labels meet than by chance. Counts begin at what is
+    expected before any is seen: PRIOR pairs, of which ``alike`` have one label twice and the
+    others meet by chance, so that a kind that is never seen is not preferred."""
+    chance = share[:, None] * share[None, :]
+    counts = PRIOR * (alike * np.diag(share) + (1 - alike) * chance)
+    np.add.at(counts, (pairs[:, 0], pairs[:, 1]), 0.5)
+    np.add.at(counts, (pairs[:, 1], pairs[:, 0]), 0.5)
+    return np.log(counts / counts.sum()) - np.log(chance)
 
 
 def fit(labels: np.ndarray, features: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> Model:
@@ -261,7 +267,17 @@ def fit(labels: np.ndarray, features: np.ndarray, chain: np.ndarray, skip: np.nd
         weights -= 0.5 * step / np.sqrt(squares)
     share = (np.bincount(labels, minlength=N) + 1.0) / (len(labels) + N)
     both = [np.stack((x[x >= 0], labels[x >= 0]), axis=1) for x in (chain, skip)]
-    return Model(weights, *(_potential(x, share) for x in both))
+    return Model(weights, _potential(both[0], share, 0.0), _potential(both[1], share, ALIKE))
+
+
+def learnt(field: Field) -> list[int]:
+    """Labels to learn from. A token without a match that is like a matched one is what the
+    field is to find: its label is hidden (-1), not none."""
+    first = list(range(len(field.label)))  # of the tokens that are like each other
+    for i, j in field.skip:
+        first[j] = first[i]
+    matched = {first[i] for i, x in enumerate(field.label) if x > 0}
+    return [-1 if x < 0 and first[i] in matched else max(x, 0) for i, x in enumerate(field.label)]
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_tokens: int = SAMPLE_TOKENS) -> Model | None:
@@ -281,12 +297,14 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_tokens: int =
                 if not spans:
                     continue
                 f = field_of(text, spans)
-                label = [max(x, 0) for x in f.label]
+                label = learnt(f)
                 chain, skip = [-1] * len(label), [-1] * len(label)
                 for edges, to in ((f.chain, chain), (f.skip, skip)):
                     for i, j in edges:
                         to[j] = label[i]
                 for i, x in enumerate(label):
+                    if x < 0:
+                        continue
                     mixed = zlib.crc32(f"{h.as_py()} {i}".encode())
                     for column, value in zip(
                         rows, (mixed, x, f.features[i], chain[i], skip[i]), strict=True
@@ -318,25 +336,31 @@ def marginals(field: Field, model: Model, rounds: int = 20, damping: float = 0.5
     unary[known, label[known]] = 0.0
     edges = np.array(field.chain + field.skip, np.int64).reshape(-1, 2)
     if len(edges):
-        potential = np.concatenate(
-            (
-                np.repeat(model.chain[None], len(field.chain), axis=0),
-                np.repeat(model.skip[None], len(field.skip), axis=0),
-            )
-        )
+        n_chain, n_edges = len(field.chain), len(edges)
         source = np.concatenate((edges[:, 0], edges[:, 1]))
         target = np.concatenate((edges[:, 1], edges[:, 0]))
-        potential = np.concatenate((potential, potential.transpose(0, 2, 1)))
-        back = np.concatenate((np.arange(len(edges)) + len(edges), np.arange(len(edges))))
-        sent = np.zeros((2 * len(edges), N))
+        back = np.concatenate((np.arange(n_edges) + n_edges, np.arange(n_edges)))
+        # Stretches of messages that pass one potential, worked on in strips.
+        ends = (0, n_chain, n_edges, n_edges + n_chain, 2 * n_edges)
+        passed = (model.chain, model.skip, model.chain.T, model.skip.T)
+        strips = [
+            (slice(low, min(low + STRIP, end)), by)
+            for first, end, by in zip(ends, ends[1:], passed, strict=False)
+            for low in range(first, end, STRIP)
+        ]
+        sent = np.zeros((2 * n_edges, N))
         for _ in range(rounds):
             belief = unary.copy()
             np.add.at(belief, target, sent)
-            away = belief[source] - sent[back]
-            new = np.logaddexp.reduce(away[:, :, None] + potential, axis=1)
-            new -= np.logaddexp.reduce(new, axis=1, keepdims=True)
-            change = np.abs(new - sent).max()
-            sent = damping * sent + (1 - damping) * new
+            change = 0.0
+            new = np.empty_like(sent)
+            for at, by in strips:
+                away = belief[source[at]] - sent[back[at]]
+                part = np.logaddexp.reduce(away[:, :, None] + by, axis=1)
+                part -= np.logaddexp.reduce(part, axis=1, keepdims=True)
+                change = max(change, float(np.abs(part - sent[at]).max()))
+                new[at] = damping * sent[at] + (1 - damping) * part
+            sent = new
             if change < 1e-3:
                 break
         np.add.at(unary, target, sent)
