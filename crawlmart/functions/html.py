@@ -29,12 +29,14 @@ XML_NAMES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
 # is a character like others. Every loop is possessive over plain characters or over whole
 # attributes, so a match needs no stack however long a tag is.
 IN_TAG = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
+# What the end of the text cuts off is one token up to there, so that no place is searched
+# for an end that is not there more than once. Such a token stays as it is.
 TOKEN = (
-    r"(?is)<(?:!--.*?--|script\b.*?</script\s*+|style\b.*?</style\s*+"
-    rf"|img\b{IN_TAG}|a\b{IN_TAG})>"
+    r"(?is)<(?:!--(?>.*?-->|.*+)|script\b(?>.*?</script\s*+>|.*+)|style\b(?>.*?</style\s*+>|.*+)"
+    rf"|img\b{IN_TAG}(?:>|\z)|a\b{IN_TAG}(?:>|\z))"
 )
-IMG_TAG = r"(?is)^<img\b"
-LINK_TAG = r"(?is)^<a\b"
+IMG_TAG = r"(?is)^<img\b.*+(?<=>)"
+LINK_TAG = r"(?is)^<a\b.*+(?<=>)"
 
 
 # Groups: name, text up to the value, double-quoted, single-quoted and bare value.

@@ -329,18 +329,18 @@ def paging(df: DataFrame) -> DataFrame:
     )
 
 
-def page_ends(df: DataFrame) -> DataFrame:
-    """url of every whole page that is the last of its chain."""
+def page_ends(df: DataFrame, by: str = "url") -> DataFrame:
+    """url, or another column, of every whole page that is the last of its chain."""
     corrupt = T.StructField("_corrupt", T.StringType())
     body = F.from_json(
         "body",
         T.StructType([*schemas.PAGED.fields, corrupt]),
         {"columnNameOfCorruptRecord": "_corrupt"},
     )
-    parsed = df.select("url", F.explode(F.array(body)).alias("b"))
+    parsed = df.select(by, F.explode(F.array(body)).alias("b"))
     whole = F.col("b").isNotNull() & F.col("b._corrupt").isNull()
     is_end = F.coalesce(F.col("b.paging.is_end"), F.lit(False)) | F.col("b.paging.next").isNull()
-    return parsed.filter(whole & is_end).select("url").distinct()
+    return parsed.filter(whole & is_end).select(by).distinct()
 
 
 def column_rejects(df: DataFrame) -> DataFrame:

@@ -2,42 +2,89 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlmart import runtime
 
 
+class Bucketed:
+    """A table whose rows lie in buckets of a key, so that a join on it moves the other side
+    only. Its files are in the shared folder; the session's catalog knows its buckets until it
+    is dropped."""
+
+    def __init__(self, spark: SparkSession, tag: str, keys: list[str], n: int, part: str = ""):
+        self.spark, self.keys, self.n, self.part = spark, keys, n, part
+        self.path = runtime.new_dir(spark, tag)
+        self.name = f"crawlmart_{tag}_{uuid.uuid4().hex}"
+
+    def append(self, df: DataFrame) -> int:
+        """Add rows, one file a bucket, and return their number."""
+        seen = Observation()
+        rows = df.observe(seen, F.count(F.lit(1)).alias("n")).repartition(self.n, *self.keys)
+        out = rows.write.mode("append").bucketBy(self.n, *self.keys).sortBy(*self.keys)
+        if self.part:
+            out = out.partitionBy(self.part)
+        out.option("path", self.path).saveAsTable(self.name)
+        return seen.get["n"]
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        """Forget the table; its files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+def onward(graph: DataFrame, level: DataFrame, hot: DataFrame, n: int) -> DataFrame:
+    """Whom a level leads to. The level is dealt over the graph's buckets, once for each part
+    of a busy source; the graph stays where it is."""
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    at = level.select(F.col("user").alias("src")).join(hot, "src", "left").select("src", parts.alias("salt"))
+    met = graph.join(at.repartition(n, "src", "salt"), ["src", "salt"], "left_semi")
+    return met.select(F.col("dst").alias("user")).distinct()
+
+
+def unseen(found: DataFrame, visited: DataFrame) -> DataFrame:
+    """Those who were not visited yet; the visited stay in their buckets."""
+    return found.join(visited.select("user"), "user", "left_anti")
+
+
 def expand_frontier(
     edges: DataFrame, seeds: DataFrame, max_depth: int | None = None
 ) -> DataFrame:
     """(user, depth) of every user reached from the seeds over ``src -> dst`` edges.
 
     One round per level, until a round finds nobody new. Edges are deduplicated and written
-    once, and the busiest sources are found once; each level is written under its depth in
-    the shared folder, so lineage stays short and a lost executor repeats one level only.
+    once, in buckets of their source; sources with very many edges are split over several
+    buckets. Visited users lie in buckets too, a folder per level. So a level moves itself and
+    whom it leads to, and neither edges nor visited users; lineage stays short and a lost
+    executor repeats one level only.
     """
     spark = edges.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     edges = runtime.materialize(
         edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct(), "edges"
     )
     hot = runtime.materialize(runtime.hot_keys(edges, "src"), "hot")
-    base = runtime.new_dir(spark, "frontier")
-    level = seeds.select(F.col("user")).filter(F.col("user").isNotNull()).distinct()
-    schema, depth = level.schema, 0
-    found = runtime.write_counted(level, f"{base}/depth=0")
-    while found and (max_depth is None or depth < max_depth):
-        # Every read names what is written already; a level in the making is never read.
-        visited = spark.read.schema(schema).parquet(*[f"{base}/depth={d}" for d in range(depth + 1)])
-        level = spark.read.schema(schema).parquet(f"{base}/depth={depth}")
-        onward = runtime.lookup(
-            edges, level.withColumnRenamed("user", "src"), "src", ["dst"], "left_semi", hot=hot
-        )
-        onward = onward.select(F.col("dst").alias("user")).distinct()
-        depth += 1
-        found = runtime.write_counted(
-            onward.join(visited, "user", "left_anti"), f"{base}/depth={depth}"
-        )
+    salt = F.pmod(F.xxhash64("dst"), F.coalesce("_salts", F.lit(1))).cast("int")
+    graph = Bucketed(spark, "graph", ["src", "salt"], n)
+    visited = Bucketed(spark, "visited", ["user"], n, part="depth")
+    try:
+        graph.append(edges.join(hot, "src", "left").select("src", "dst", salt.alias("salt")))
+        level = seeds.select(F.col("user")).filter(F.col("user").isNotNull()).distinct()
+        schema, depth = level.schema, 0
+        found = visited.append(level.withColumn("depth", F.lit(0)))
+        while found and (max_depth is None or depth < max_depth):
+            level = visited.read().filter(F.col("depth") == depth)
+            depth += 1
+            new = unseen(onward(graph.read(), level, hot, n), visited.read())
+            found = visited.append(new.withColumn("depth", F.lit(depth)))
+    finally:
+        graph.drop()
+        visited.drop()
     with_depth = T.StructType([*schema.fields, T.StructField("depth", T.IntegerType())])
-    return spark.read.schema(with_depth).parquet(base)
+    return spark.read.schema(with_depth).parquet(visited.path)

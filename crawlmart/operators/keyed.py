@@ -5,6 +5,8 @@ All are pure functions from frames to frames; the caller decides what is written
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,15 +28,26 @@ def first_write_wins(df: DataFrame, key: str, seq: list[str]) -> DataFrame:
     )
 
 
-def assign_ids(new: DataFrame, existing: DataFrame, key: str, digits: int = 4) -> DataFrame:
+def assign_ids(
+    new: DataFrame,
+    existing: DataFrame,
+    key: str,
+    digits: int = 4,
+    reserve: Callable[[int], int] | None = None,
+) -> DataFrame:
     """Dense ids ``max+1, max+2, …`` for rows unique on ``key``, in order of the key's md5.
+    With ``reserve``, which gets the number of rows and gives the id before the first, ids
+    come from there (see ``sources.ids``) and ``existing`` is not read.
 
     Rows are numbered inside 16**digits buckets of the md5 and shifted by the sizes of the
     buckets before. The buckets are even whatever the keys look like, depend on data only
     (a retried task numbers alike), and the table of offsets has 16**digits rows at most.
     The rows are written first, as they are read for the sizes and for the numbers.
     """
-    hashed = runtime.materialize(new, "unnumbered").withColumn("_md5", F.md5(key)).withColumn(
+    path = runtime.new_dir(new.sparkSession, "unnumbered")
+    n = runtime.write_counted(new, path)
+    rows = new.sparkSession.read.schema(new.schema).parquet(path)
+    hashed = rows.withColumn("_md5", F.md5(key)).withColumn(
         "_bucket", F.substring("_md5", 1, digits)
     )
     sizes = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
@@ -44,7 +57,10 @@ def assign_ids(new: DataFrame, existing: DataFrame, key: str, digits: int = 4) -
     )
     numbered = hashed.join(F.broadcast(offsets), "_bucket")
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy("_md5", key))
-    start = max_id(existing).select("max_id").scalar()
+    if reserve is None:
+        start = max_id(existing).select("max_id").scalar()
+    else:
+        start = F.lit(reserve(n)).cast("long")
     return numbered.withColumn("id", start + F.col("_before") + inside).drop(
         "_md5", "_bucket", "_before"
     )

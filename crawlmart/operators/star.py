@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from crawlmart.operators.keyed import assign_ids, insert_if_absent
 from crawlmart.runtime import lookup
 
 ROLE = "role"
+#: Gets a number of ids and gives the one before the first of them.
+Reserve = Callable[[int], int] | None
 USER_FIELDS = schemas.USER_ITEM.fieldNames()
 
 
@@ -40,10 +44,12 @@ def user_candidates(posts: DataFrame) -> DataFrame:
     return author.unionByName(creator).filter(F.col("slug").isNotNull())
 
 
-def new_users(posts: DataFrame, users: DataFrame, at: Column | str | None = None) -> DataFrame:
+def new_users(
+    posts: DataFrame, users: DataFrame, at: Column | str | None = None, reserve: Reserve = None
+) -> DataFrame:
     """Users to create, in the layout of the user table."""
     rows = insert_if_absent(users, user_candidates(posts), "slug", [*SEQ, ROLE])
-    rows = assign_ids(rows.select(*USER_FIELDS), users, "slug")
+    rows = assign_ids(rows.select(*USER_FIELDS), users, "slug", reserve=reserve)
     rows = keys.stamp(rows, at).withColumns(
         {"crawl_column": F.lit(False), "crawl_follow": F.lit(False)}
     )
@@ -67,7 +73,11 @@ def resolve_creator(posts: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def new_columns(
-    posts: DataFrame, columns: DataFrame, users: DataFrame, at: Column | str | None = None
+    posts: DataFrame,
+    columns: DataFrame,
+    users: DataFrame,
+    at: Column | str | None = None,
+    reserve: Reserve = None,
 ) -> DataFrame:
     """Columns to create, in the layout of the column table, with the creator's id."""
     rows = posts.filter(F.col("column").isNotNull()).select(
@@ -75,7 +85,8 @@ def new_columns(
     )
     rows = insert_if_absent(columns, rows, "hash", SEQ).drop(*SEQ)
     creators = users.select(F.col("slug").alias("_creator"), F.col("id").alias("creator_id"))
-    rows = assign_ids(lookup(rows, creators, "_creator", ["hash"]), columns, "slug")
+    rows = lookup(rows, creators, "_creator", ["hash"])
+    rows = assign_ids(rows, columns, "slug", reserve=reserve)
     rows = keys.stamp(rows, at).withColumn("last_update_time", F.lit(None).cast("timestamp_ntz"))
     return rows.select(*schemas.COLUMN.fieldNames())
 
@@ -93,7 +104,12 @@ def load_fact(posts: DataFrame, users: DataFrame, columns: DataFrame) -> DataFra
 
 
 def article_rows(
-    posts: DataFrame, articles: DataFrame, users: DataFrame, columns: DataFrame, base: str
+    posts: DataFrame,
+    articles: DataFrame,
+    users: DataFrame,
+    columns: DataFrame,
+    base: str,
+    reserve: Reserve = None,
 ) -> DataFrame:
     """Articles to insert, in the layout of the article table plus the arrival order.
 
@@ -101,7 +117,8 @@ def article_rows(
     new ones among them are picked by their arrival order, which is unique.
     """
     narrow = posts.select(*SEQ, "md5", "column_slug", F.struct("author.slug").alias("author"))
-    new = assign_ids(insert_if_absent(articles, narrow, "md5", SEQ), articles, "md5")
+    new = insert_if_absent(articles, narrow, "md5", SEQ)
+    new = assign_ids(new, articles, "md5", reserve=reserve)
     fact = load_fact(new, users, columns).select(*SEQ, "id", "author_id", "belong_id")
     time = keys.parse_published(F.col("published"))
     rows = posts.join(fact, SEQ).withColumns(

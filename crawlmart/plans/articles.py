@@ -12,15 +12,59 @@ from crawlmart.functions import keys
 from crawlmart.operators import extract, keyed, paging, star, summaries
 from crawlmart.operators.extract import SEQ
 from crawlmart.sources import tables
+from crawlmart.sources.ids import IdLedger
+from crawlmart.sources.keyed_store import KeyedStore
 
 
 @dataclass
 class Store:
-    """What is stored already. Articles need (md5, id) only."""
+    """What is stored already. Articles need (md5, id) only. With ``ids``, new ids are
+    reserved there; else they follow the greatest one that is stored."""
 
     users: DataFrame
     columns: DataFrame
     articles: DataFrame
+    ids: IdLedger | None = None
+    load: str = ""  # name of the load that reserves
+
+    def reserve(self, table: str):
+        return None if self.ids is None else self.ids.of(table, self.load)
+
+    def near(self, posts: DataFrame) -> Store:
+        """The store as far as these posts need it."""
+        return self
+
+    def articles_near(self, posts: DataFrame) -> DataFrame:
+        """The articles that these posts (md5) may meet."""
+        return self.articles
+
+
+@dataclass
+class KeyedStores(Store):
+    """A store whose users (by slug) and articles (by md5) lie in folders by a hash of their
+    key, so that a load reads what its keys may meet and no more. New ids are reserved, as the
+    greatest stored one would take a look at all rows. Columns are few."""
+
+    users: KeyedStore
+    articles: KeyedStore
+
+    def articles_near(self, posts: DataFrame) -> DataFrame:
+        return runtime.materialize(self.articles.near(posts.select("md5")), "near_articles")
+
+    def near(self, posts: DataFrame) -> Store:
+        people = star.user_candidates(posts).select("slug")
+        return Store(
+            runtime.materialize(self.users.near(people), "near_users"),
+            self.columns,
+            self.articles_near(posts),
+            self.ids,
+            self.load,
+        )
+
+    def add(self, load: Load, batch: int) -> None:
+        """Store the users and articles of a load."""
+        self.users.write(load.users, batch)
+        self.articles.write(load.articles.select("md5", "id"), batch)
 
 
 @dataclass
@@ -49,13 +93,17 @@ def store_posts(posts: DataFrame, store: Store, base: str, at: Column | str | No
     """Insert users, columns and articles that are absent. ``posts`` is a written table:
     it is read once per target. A post rejected as an article still yields its users and
     its column, as their rows do not depend on it."""
-    users = runtime.materialize(star.new_users(posts, store.users, at), "users")
+    store = store.near(posts)
+    users = star.new_users(posts, store.users, at, store.reserve("users"))
+    users = runtime.materialize(users, "users")
     all_users = store.users.unionByName(users)
-    columns = runtime.materialize(star.new_columns(posts, store.columns, all_users, at), "columns")
+    columns = star.new_columns(posts, store.columns, all_users, at, store.reserve("columns"))
+    columns = runtime.materialize(columns, "columns")
     valid, rejects = extract.split_rejects(posts, extract.post_rejects())
     articles = star.article_rows(
-        valid, store.articles, all_users, store.columns.unionByName(columns), base
-    )
+        valid, store.articles, all_users, store.columns.unionByName(columns), base,
+        store.reserve("articles"),
+    )
     # Written: what is new must not change when the store does.
     return Load(users, columns, runtime.materialize(articles, "articles"), _rejects(rejects))
 
@@ -185,7 +233,9 @@ def ingest_incremental(
     found = runtime.materialize(extract.post_keys(fetched), "keys")
     found, broken = _split_broken(found)
     found = found.withColumn("page", F.floor(F.col("offset") / paging.PAGE_STEP))
-    kept = runtime.materialize(paging.until_first_seen(found, store.articles), "kept")
+    # Posts have no author yet: here only the articles are looked up.
+    known_articles = store.articles_near(found)
+    kept = runtime.materialize(paging.until_first_seen(found, known_articles), "kept")
     known, unknown = star.require_column(kept, store.columns)
     pages = runtime.materialize(known.select("resp_seq").distinct(), "pages")
     rows = extract.explode_posts(post_responses.join(pages, "resp_seq", "left_semi"))
@@ -194,10 +244,13 @@ def ingest_incremental(
     valid, rejects = extract.split_rejects(rows, extract.post_rejects())
     # This path stores authors only, so no creators are offered.
     authors = rows.withColumn("creator", F.lit(None).cast(schemas.USER_ITEM))
-    users = runtime.materialize(star.new_users(authors, store.users, at), "users")
+    store = store.near(authors)
+    users = star.new_users(authors, store.users, at, store.reserve("users"))
+    users = runtime.materialize(users, "users")
     articles = star.article_rows(
-        valid, store.articles, store.users.unionByName(users), store.columns, base
-    )
+        valid, store.articles, store.users.unionByName(users), store.columns, base,
+        store.reserve("articles"),
+    )
     articles = runtime.materialize(articles, "articles")
     columns = summaries.last_update_per_column(valid, store.columns)
     every = _rejects(rejects).unionByName(_rejects(unknown)).unionByName(broken)

@@ -16,9 +16,10 @@ from crawlmart.operators.frontier import expand_frontier
 MEMBER = "/members/([^/?]+)/"
 
 
-def _fetched(users: DataFrame, responses: DataFrame, kind: str) -> DataFrame:
-    """Responses on the chains that start at the users' first pages, with their user and the
-    chain's first page. Of a page that was fetched several times the first one counts."""
+def _owned(users: DataFrame, responses: DataFrame, kind: str) -> DataFrame:
+    """(resp_seq, url, root, owner) of the responses on the chains that start at the users'
+    first pages. Of a page that was fetched several times the first one counts. Only addresses
+    and numbers move; bodies are read where they lie, before and after."""
     once = keyed.first_write_wins(responses.select("url", "resp_seq"), "url", ["resp_seq"])
     starts = paging.seed_urls(users, kind).select("url", "slug")
     reached = paging.cursor_pages(starts, extract.paging(responses))
@@ -26,17 +27,26 @@ def _fetched(users: DataFrame, responses: DataFrame, kind: str) -> DataFrame:
     # the joins by address and number are between unique keys.
     roots = starts.select(F.col("url").alias("root"), F.col("slug").alias("owner"))
     owned = runtime.lookup(reached, roots, "root", ["hop"], "inner").select("url", "root", "owner")
-    return responses.join(owned.join(once, "url").drop("url"), "resp_seq")
+    return runtime.materialize(owned.join(once, "url"), "owned")
 
 
-def complete_owners(pages: DataFrame, kind: str) -> DataFrame:
-    """Users all of whose chains were fetched up to their last page."""
-    ends = extract.page_ends(pages)
-    chains = pages.select("url", "root", "owner").join(ends, "url").select("owner", "root").distinct()
-    done = chains.groupBy("owner").agg(F.count(F.lit(1)).alias("n"))
+def _ends(responses: DataFrame) -> DataFrame:
+    return runtime.materialize(extract.page_ends(responses, "resp_seq"), "ends")
+
+
+def complete_owners(owned: DataFrame, ends: DataFrame, kind: str) -> DataFrame:
+    """Users all of whose chains were fetched up to their last page; ``ends`` has the numbers
+    of the responses that are one."""
+    chains = owned.select("resp_seq", "root", "owner").join(ends, "resp_seq")
+    done = chains.select("owner", "root").distinct().groupBy("owner").agg(F.count(F.lit(1)).alias("n"))
     return done.filter(F.col("n") == len(paging.SEEDS[kind])).select(F.col("owner").alias("slug"))
 
 
+def _of(owned: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows that come from owned responses."""
+    return rows.join(owned.select("resp_seq"), "resp_seq", "left_semi")
+
+
 def _rejects(df: DataFrame, key: str = "slug") -> DataFrame:
     """(resp_seq, pos, reject_reason) of rows without a key; pos is null for a whole body."""
     bad = df.filter(F.coalesce(F.col(key), F.lit("")) == "")
@@ -65,9 +75,10 @@ def crawl_follow_graph(
     waiting = runtime.materialize(keyed.pending(users, "crawl_follow").select("slug"), "pending")
     idle = users.select("slug").join(waiting, "slug", "left_anti")
     owners = _owner(responses).join(idle, "slug", "left_anti")
-    pages = runtime.materialize(_fetched(owners, responses, "follow"), "pages")
-    members = runtime.materialize(extract.explode_members(pages), "members")
-    edges = members.join(pages.select("resp_seq", "owner"), "resp_seq").select(
+    owned = _owned(owners, responses, "follow")
+    members = runtime.materialize(extract.explode_members(responses), "members")
+    named = members.select(*SEQ, "slug")
+    edges = named.join(owned.select("resp_seq", "owner"), "resp_seq").select(
         F.col("owner").alias("src"), F.col("slug").alias("dst")
     )
     reached = expand_frontier(edges, waiting.select(F.col("slug").alias("user")))
@@ -75,17 +86,19 @@ def crawl_follow_graph(
     crawled = runtime.materialize(crawled, "crawled")
     owners = crawled.withColumnRenamed("slug", "owner")
     met = runtime.lookup(
-        pages.select("resp_seq", "owner"), owners, "owner", ["resp_seq"], "left_semi"
+        owned.select("resp_seq", "owner"), owners, "owner", ["resp_seq"], "left_semi"
     )
-    met = members.join(met.select("resp_seq"), "resp_seq", "left_semi")
-    fresh = keyed.insert_if_absent(users, keyed.non_empty_key(met, "slug"), "slug", SEQ)
-    fresh = keyed.assign_ids(fresh.drop(*SEQ), users, "slug")
+    met = keyed.non_empty_key(_of(met, named), "slug")
+    # Who is new is settled on keys; only the new ones' profiles move.
+    new = keyed.insert_if_absent(users, met, "slug", SEQ).select(*SEQ)
+    fresh = keyed.assign_ids(members.join(new, SEQ, "left_semi").drop(*SEQ), users, "slug")
     fresh = keys.stamp(fresh, at).withColumns(
         {"crawl_column": F.lit(False), "crawl_follow": F.lit(False)}
     )
     fresh = runtime.materialize(fresh.select(*schemas.USER.fieldNames()), "users")
-    done = crawled.join(complete_owners(pages, "follow"), "slug", "left_semi")
-    rejects = _broken(pages, schemas.MEMBERS).unionByName(_rejects(members))
+    done = crawled.join(complete_owners(owned, _ends(responses), "follow"), "slug", "left_semi")
+    rejects = _of(owned, _broken(responses, schemas.MEMBERS).unionByName(_rejects(members)))
+    rejects = rejects.select("resp_seq", "pos", "reject_reason")
     return fresh, keyed.mark_done(users.unionByName(fresh), done, "crawl_follow"), rejects
 
 
@@ -109,19 +122,19 @@ def discover_columns(
     """(columns to queue, user snapshot, rejects): columns that pending users contribute to or
     follow. Done are users whose chains were fetched to their ends."""
     waiting = runtime.materialize(keyed.pending(users, "crawl_column").select("slug"), "pending")
-    pages = runtime.materialize(_fetched(waiting, responses, "column"), "pages")
+    owned = _owned(waiting, responses, "column")
     contributed = F.contains(F.col("url"), F.lit("/column-contributions"))
-    found = extract.explode_contributions(pages.filter(contributed)).unionByName(
-        extract.explode_following_columns(pages.filter(~contributed))
+    found = extract.explode_contributions(responses.filter(contributed)).unionByName(
+        extract.explode_following_columns(responses.filter(~contributed))
     )
-    found = runtime.materialize(found, "found")
+    found = _of(owned, runtime.materialize(found, "found"))
     fresh = _new_random_columns(found, known, queue, at)
-    rejects = (
-        _broken(pages.filter(contributed), schemas.CONTRIBUTIONS)
-        .unionByName(_broken(pages.filter(~contributed), schemas.FOLLOWING))
-        .unionByName(_rejects(found))
+    broken = _broken(responses.filter(contributed), schemas.CONTRIBUTIONS).unionByName(
+        _broken(responses.filter(~contributed), schemas.FOLLOWING)
     )
-    return fresh, keyed.mark_done(users, complete_owners(pages, "column"), "crawl_column"), rejects
+    rejects = _of(owned, broken).select("resp_seq", "pos", "reject_reason").unionByName(_rejects(found))
+    done = complete_owners(owned, _ends(responses), "column")
+    return fresh, keyed.mark_done(users, done, "crawl_column"), rejects
 
 
 def discover_random_columns(

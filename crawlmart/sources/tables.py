@@ -28,6 +28,37 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the class of its paths."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    return hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def mark_complete(spark: SparkSession, root: str, batch: int) -> None:
+    """Say that all tables of a batch are written."""
+    files, hadoop = _files(spark, root)
+    files.create(hadoop(f"{root}/_complete/batch={batch}"), True).close()
+
+
+def complete_batches(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the batches that are written in full, ascending."""
+    files, hadoop = _files(spark, root)
+    marks = hadoop(f"{root}/_complete")
+    if not files.exists(marks):
+        return []
+    names = (entry.getPath().getName() for entry in files.listStatus(marks))
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+
+def read_star(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
+    """A table that ``write_star`` wrote under ``root``, its complete batches only: what a
+    running or failed load has written is not seen, in any of its tables."""
+    paths = [f"{root}/{name}/batch={n}" for n in complete_batches(spark, root)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths).select(*schema.fieldNames())
+
+
 def write_snapshot(df: DataFrame, path: str, number: int) -> None:
     """Write a full state of a table. Readers see it when its completion mark is there."""
     df.write.mode("overwrite").parquet(f"{path}/snapshot={number}")
@@ -84,7 +115,16 @@ def write_star(
     dims: dict[str, DataFrame], facts: dict[str, DataFrame], root: str, batch: int
 ) -> dict[str, str]:
     """Write the dimension rows of a batch, then its facts, so that a reader never meets a
-    fact whose dimension row is missing. Returns the path of each table."""
-    for name, df in [*dims.items(), *facts.items()]:
+    fact whose dimension row is missing, then the mark by which ``read_star`` knows that the
+    batch is complete. A batch that is written again has no mark while it is. Returns the path
+    of each table."""
+    tables = [*dims.items(), *facts.items()]
+    if tables:
+        spark = tables[0][1].sparkSession
+        files, hadoop = _files(spark, root)
+        files.delete(hadoop(f"{root}/_complete/batch={batch}"), False)
+    for name, df in tables:
         write_table(df, f"{root}/{name}", batch)
+    if tables:
+        mark_complete(spark, root, batch)
     return {name: f"{root}/{name}" for name in [*dims, *facts]}
