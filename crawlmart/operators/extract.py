@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,7 @@ SEQ = ["resp_seq", "pos"]
 ROW = r"(?is)<tr\b[^>]*>(.*?)(?=<tr\b|</tr\b|</table\b|\z)"
 CELL = r"(?is)<td\b[^>]*>(.*?)(?=<t[dh]\b|</td\b|\z)"
 CHILD = r"(?is)<([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>|<[^>]*>"
+TABLE_TAG = r"(?is)</?(?:table|tr|td|th)\b[^>]*>"
 STATE = '(?s)<textarea id="{id}" hidden="">(.*?)</textarea>'
 UPDATED_START, UPDATED_END, UPDATED_VALUE = '"updated":', ',"canComment"', '" "'
 PROXY_LAYOUTS = {
@@ -102,6 +103,62 @@ def html_table_rows(
     )
 
 
+def html_table_rows_nested(
+    df: DataFrame, html: str, cols: dict[str, int | Column], page: str, skip: int = 1
+) -> DataFrame:
+    """The same where tables stand in cells of tables: every row at any depth, in the order in
+    which rows begin, each with its own cells only. A cell's text is its first own one, before,
+    between or behind the tables in it. ``page`` is unique in ``df``; the result has it, ``pos``
+    and the named columns.
+
+    Tags are exploded; a running sum over their starts and ends is the depth, and the last
+    table, row and cell that began at a tag's depth are the ones around it.
+    """
+    numbers = {
+        f"_no_{name}": F.lit(no) if isinstance(no, int) else no for name, no in cols.items()
+    }
+    tags = F.regexp_extract_all(html, F.lit(TABLE_TAG), F.lit(0))
+    texts = F.slice(F.split(html, TABLE_TAG, -1), F.lit(2), F.size(tags))
+    cut = df.select(page, *[no.alias(name) for name, no in numbers.items()], F.arrays_zip(
+        tags.alias("tag"), texts.alias("after")).alias("_tags"))
+    each = cut.select(page, *numbers, F.posexplode("_tags").alias("_i", "_t"))
+    each = each.select(page, *numbers, "_i", "_t.tag", "_t.after")
+    name = F.lower(F.regexp_extract("tag", "^</?([a-zA-Z]+)", 1))
+    each = each.withColumns({"_name": name, "_open": ~F.col("tag").startswith("</")})
+
+    def begins(kind: str) -> Column:
+        return (F.col("_name") == kind) & F.col("_open")
+
+    def last(value: Column, *within: str) -> Column:
+        return F.last(value, ignorenulls=True).over(Window.partitionBy(*within).orderBy("_i"))
+
+    order = Window.partitionBy(page).orderBy("_i")
+    step = F.when(F.col("_name") == "table", F.when(F.col("_open"), 1).otherwise(-1)).otherwise(0)
+    each = each.withColumns(
+        {"_sum": F.sum(step).over(order), "_tr": F.sum(begins("tr").cast("int")).over(order)}
+    )
+    # An end without a start takes nothing from the depth of what follows.
+    low = F.least(F.lit(0), F.min("_sum").over(order))
+    each = each.withColumn("_depth", F.col("_sum") - low)
+    each = each.withColumn("_table", last(F.when(begins("table"), F.col("_i")), page, "_depth"))
+    place = [page, "_depth", "_table"]
+    row = F.when(F.col("_name") == "tr", F.when(F.col("_open"), F.col("_tr")).otherwise(0))
+    row = F.when(begins("table"), 0).otherwise(row)
+    each = each.withColumn("_row", last(row, *place)).filter(F.col("_row") > skip)
+    inside = Window.partitionBy(page, "_row").orderBy("_i")
+    each = each.withColumn("_td", F.sum(begins("td").cast("int")).over(inside))
+    cell = F.when(F.col("_name").isin("td", "th", "tr"), F.when(begins("td"), F.col("_td")).otherwise(0))
+    each = each.withColumn("_cell", last(cell, page, "_row"))
+    own = F.filter(F.split("after", CHILD, -1), lambda p: p != "")
+    text = F.struct("_i", F.try_element_at(own, F.lit(1)).alias("text"))
+    found = each.withColumn("_text", F.when(F.size(own) > 0, text))
+    out = found.groupBy(page, "_row").agg(
+        *[F.min(F.when(F.col("_cell") == F.col(f"_no_{c}"), F.col("_text"))).alias(c) for c in cols]
+    )
+    trimmed = [F.regexp_replace(F.col(c)["text"], r"^\s+|\s+$", "").alias(c) for c in cols]
+    return out.select(page, (F.col("_row") - skip - 1).cast("int").alias("pos"), *trimmed)
+
+
 def embedded_text(html: Column, element_id: str) -> Column:
     """Raw text of the first ``<textarea id=… hidden="">``, null if there is none."""
     return F.nullif(F.regexp_extract(html, STATE.format(id=element_id), 1), F.lit(""))

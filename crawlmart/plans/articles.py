@@ -62,7 +62,8 @@ class KeyedStores(Store):
         )
 
     def add(self, load: Load, batch: int) -> None:
-        """Store the users and articles of a load."""
+        """Store what a load has added."""
+        self.columns = self.columns.unionByName(load.columns)
         self.users.write(load.users, batch)
         self.articles.write(load.articles.select("md5", "id"), batch)
 

@@ -602,3 +602,26 @@ ORACLES["non_empty_key"] = ORACLES["explode_recommendations"].replace(
     "SELECT resp_seq, pos, slug, md5(slug) AS hash FROM listed WHERE slug <> ''",
 )
 ORACLES["ingest_articles_feed"] = ORACLES["new_article_feed"]
+
+for _name in "insert_if_absent ingest_articles ingest_single_articles ingest_incremental".split():
+    ORACLES[f"{_name}_keyed"] = ORACLES[_name]
+ORACLES["ingest_articles_keyed_again"] = f"""
+SELECT 1 AS load, count(*) AS n_new FROM ({ORACLES["ingest_articles"]}) UNION ALL SELECT 2, 0"""
+ORACLES["assign_ids_reserved"] = f"""{FOLLOWS}
+SELECT slug, load,
+       (SELECT max(id) FROM stored_users) + row_number() OVER (ORDER BY load, md5(slug)) AS id
+FROM (SELECT slug, CASE WHEN id % 2 = 0 THEN 'a' ELSE 'b' END AS load FROM users WHERE user_id % 3 <> 0)"""
+ORACLES["stream_commits"] = f"""{ITEMS}
+, numbered AS (SELECT *, (row_number() OVER (ORDER BY seq) - 1) // 100 AS commit FROM items)
+SELECT commit, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS n_rows,
+       string_agg(key, ',' ORDER BY seq) AS items
+FROM numbered GROUP BY commit"""
+ORACLES["html_table_rows_nested"] = f"""{SUPPLIERS}
+, made AS (
+  SELECT *, CASE s_nationkey % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS pads FROM proxies)
+SELECT page_id, pos * (1 + pads) AS pos, host, port, protocol FROM made
+UNION ALL
+SELECT page_id, CAST(pos * (1 + pads) + j AS INTEGER),
+       CASE WHEN s_nationkey % 3 = 0 THEN 'side' ELSE 'in' END,
+       CASE WHEN s_nationkey % 3 <> 0 THEN 'side' END, NULL
+FROM made, unnest([1, 2, 3]) AS t(j) WHERE j <= pads"""

@@ -12,8 +12,8 @@ from crawlmart.functions import html, keys
 from crawlmart.operators import extract, frontier, keyed, paging, star, summaries
 from crawlmart.operators.extract import SEQ
 from crawlmart.plans import articles, crawls
-from crawlmart.sources import sample, tables
-from crawlmart.streaming import ingest
+from crawlmart.sources import ids, keyed_store, sample, tables
+from crawlmart.streaming import commits, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,6 +50,20 @@ def store(spark: SparkSession, sf: str, known: Query = sample.stored_articles) -
     )
 
 
+def keyed_stores(spark: SparkSession, sf: str, known: Query = sample.stored_articles) -> articles.KeyedStores:
+    """The same in stores by key hash, with a ledger of ids that knows the stored ones."""
+    plain, root = store(spark, sf, known), runtime.new_dir(spark, "stores")
+    ledger = ids.IdLedger(spark, f"{root}/ids")
+    for name in ("users", "columns", "articles"):
+        top = summaries.max_id(getattr(plain, name)).first()["max_id"]
+        ledger.reserve(name, "", top)
+    users = keyed_store.KeyedStore(spark, f"{root}/users", "slug", schemas.USER, 1)
+    stored = keyed_store.KeyedStore(spark, f"{root}/articles", "md5", plain.articles.schema, 1)
+    users.write(plain.users, 0)
+    stored.write(plain.articles, 0)
+    return articles.KeyedStores(users, plain.columns, stored, ledger, "load")
+
+
 # -- sources and sinks -----------------------------------------------------------------
 @query
 def read_pages(spark, sf):
@@ -89,9 +103,9 @@ def write_star(spark, sf):
     users, columns = sample.users(spark, sf), sample.stored_columns(spark, sf)
     fact = star.load_fact(posts, users, columns).select("md5", "title", "author_id", "belong_id")
     root = runtime.new_dir(spark, "star")
-    paths = tables.write_star({"user": users, "column": columns}, {"article": fact}, root, 0)
-    facts = tables.read_store(spark, paths["article"], fact.schema)
-    names = tables.read_store(spark, paths["user"], schemas.USER)
+    tables.write_star({"user": users, "column": columns}, {"article": fact}, root, 0)
+    facts = tables.read_star(spark, root, "article", fact.schema)
+    names = tables.read_star(spark, root, "user", schemas.USER)
     names = names.select(F.col("id").alias("author_id"), F.col("name").alias("author"))
     return runtime.lookup(facts, names, "author_id", ["title"]).select(
         "md5", "title", "author", "belong_id"
@@ -107,6 +121,14 @@ def html_table_rows(spark, sf):
     return rows.select("page_id", "pos", "host", "port", "protocol")
 
 
+@query
+def html_table_rows_nested(spark, sf):
+    """Each cell without a value holds a table of its own."""
+    inner = "<td>a<table><tr><td> in\n</td><td><b>x</b>side</td></tr></table>b</td>"
+    pages = sample.proxy_pages(spark, sf).withColumn("html", F.replace("html", F.lit("<td>-</td>"), F.lit(inner)))
+    return extract.html_table_rows_nested(pages, "html", extract.layout_columns("layout"), "page_id")
+
+
 @query
 def embedded_json(spark, sf):
     states = extract.embedded_json(
@@ -489,6 +511,21 @@ def assign_ids(spark, sf):
     return keyed.assign_ids(new, stored, "slug")
 
 
+@query
+def assign_ids_reserved(spark, sf):
+    """Two loads that were planned from the same store."""
+    stored = sample.stored_users(spark, sf)
+    ledger = ids.IdLedger(spark, runtime.new_dir(spark, "ids"))
+    ledger.reserve("users", "", summaries.max_id(stored).first()["max_id"])
+    new = sample.users(spark, sf).select("slug", "id").join(stored.select("slug"), "slug", "left_anti")
+    loads = []
+    for name, odd in (("a", 0), ("b", 1)):
+        rows = new.filter(F.col("id") % 2 == odd).select("slug")
+        numbered = keyed.assign_ids(rows, stored, "slug", reserve=ledger.of("users", name))
+        loads.append(numbered.withColumn("load", F.lit(name)))
+    return loads[0].unionByName(loads[1])
+
+
 @query
 def take_pending(spark, sf):
     todo = keyed.pending(sample.users(spark, sf), "crawl_column")
@@ -537,6 +574,22 @@ def insert_if_absent(spark, sf):
     return rows.select("md5", "title", "link")
 
 
+@query
+def insert_if_absent_keyed(spark, sf):
+    """The same from a store by key hash, in two batches, the second after the first."""
+    stored = sample.stored_articles(spark, sf)
+    known = keyed_store.KeyedStore(spark, runtime.new_dir(spark, "keyed"), "md5", stored.schema, 1)
+    known.write(stored, 0)
+    posts = runtime.materialize(sample.posts(spark, sf).select(*SEQ, "md5", "title", "link", "doc_id"), "posts")
+    half = posts.agg(F.expr("percentile_approx(resp_seq, 0.5)")).first()[0]
+    found = []
+    for no, part in enumerate((posts.filter(F.col("resp_seq") <= half), posts.filter(F.col("resp_seq") > half))):
+        new = runtime.materialize(known.insert_if_absent(part, SEQ), "new")
+        known.write(new.select("md5", F.lit(None).cast("long").alias("id")), no + 1)
+        found.append(new.select("md5", "title", "link"))
+    return found[0].unionByName(found[1])
+
+
 @query
 def flag_new(spark, sf):
     rows = keyed.flag_new(sample.stored_articles(spark, sf), sample.posts(spark, sf), "md5", SEQ)
@@ -633,7 +686,7 @@ def append_batches(spark, sf):
 @query
 def stream_insert_if_absent(spark, sf):
     path, stored = runtime.new_dir(spark, "inserted"), _stored_items(spark, sf)
-    ingest.start_store(stored, path)
+    ingest.start_store(stored, path, "key")
     _land(
         spark, sf, lambda stream, cp: ingest.stream_insert_if_absent(stream, path, "key", ["seq"], cp)
     )
@@ -698,13 +751,25 @@ def stream_batch_feed(spark, sf):
 
     stored = _stored_items(spark, sf)
     ingest.start_store(
-        stored.withColumns({"token": F.col("key"), "md5": keys.md5_key(F.col("key"))}), path
+        stored.withColumns({"token": F.col("key"), "md5": keys.md5_key(F.col("key"))}), path, "md5"
     )
     _land(spark, sf, start)
     rows = spark.read.schema("batch_no long, n_new int, links string, md5s array<string>, batch int")
     return rows.parquet(feed).withColumn("md5s", F.array_join("md5s", ","))
 
 
+@query
+def stream_commits(spark, sf):
+    """Commits of exactly COMMIT items, the last one smaller."""
+    schema = sample.event_items(spark, sf).schema
+    made = commits.Commits(spark, runtime.new_dir(spark, "commits"), schema, COMMIT, ["seq"], "key")
+    _land(spark, sf, made.run)
+    made.close()
+    rows = made.read().groupBy("commit").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
+    marks = made.marks().select("commit", "n_rows", F.array_join("items", ",").alias("items"))
+    return rows.join(marks, "commit")
+
+
 # -- end to end ------------------------------------------------------------------------
 def _article_columns() -> list:
     return [
@@ -724,6 +789,30 @@ def ingest_articles(spark, sf):
     return _ingest(spark, sf).articles.select(*_article_columns())
 
 
+@query
+def ingest_articles_keyed(spark, sf):
+    """The same load on stores by key hash; its ids are reserved."""
+    load = articles.ingest_articles(
+        sample.post_responses(spark, sf), sample.column_responses(spark, sf), keyed_stores(spark, sf), BASE, AT
+    )
+    return load.articles.select(*_article_columns())
+
+
+@query
+def ingest_articles_keyed_again(spark, sf):
+    """A second load of the same responses, after the first was stored, finds nothing new."""
+    stores = keyed_stores(spark, sf)
+    counts = []
+    for no in (1, 2):
+        stores.load = f"load {no}"
+        load = articles.ingest_articles(
+            sample.post_responses(spark, sf), sample.column_responses(spark, sf), stores, BASE, AT
+        )
+        stores.add(load, no)
+        counts.append(load.articles.agg(F.lit(no).alias("load"), F.count(F.lit(1)).alias("n_new")))
+    return counts[0].unionByName(counts[1])
+
+
 @query
 def ingest_articles_users(spark, sf):
     return _ingest(spark, sf).users.drop("create_time", "modify_time")
@@ -746,6 +835,15 @@ def ingest_single_articles(spark, sf):
     return _ingest_single(spark, sf)[0].articles.select(*_article_columns())
 
 
+@query
+def ingest_single_articles_keyed(spark, sf):
+    load, _, _ = articles.ingest_single_articles(
+        sample.page_states(spark, sf), sample.column_responses(spark, sf), keyed_stores(spark, sf),
+        empty(spark, schemas.TAG), empty(spark, schemas.ARTICLE_TAG), BASE, AT,
+    )
+    return load.articles.select(*_article_columns())
+
+
 @query
 def ingest_single_articles_tags(spark, sf):
     load, tags, pairs = _ingest_single(spark, sf)
@@ -766,6 +864,16 @@ def ingest_incremental(spark, sf):
     return _ingest_incremental(spark, sf).articles.select(*_article_columns())
 
 
+@query
+def ingest_incremental_keyed(spark, sf):
+    older = keyed_stores(spark, sf, sample.old_articles)
+    load = articles.ingest_incremental(
+        sample.column_queue(spark, sf), sample.column_responses(spark, sf),
+        sample.post_responses(spark, sf), older, BASE, DRAWN, SEED, AT,
+    )
+    return load.articles.select(*_article_columns())
+
+
 @query
 def ingest_incremental_columns(spark, sf):
     rows = _ingest_incremental(spark, sf).columns

@@ -16,6 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from crawlmart.operators.keyed import insert_if_absent
 from crawlmart.operators.summaries import new_article_feed
 from crawlmart.sources.tables import write_table
+from crawlmart.streaming.history import KeyHistory
 
 STORE = -1
 
@@ -32,9 +33,15 @@ def _run(
     )
 
 
-def start_store(existing: DataFrame, path: str) -> None:
-    """Write what is stored already, as the batch before the first."""
+def _history(spark: SparkSession, path: str, key: str, kind: T.DataType) -> KeyHistory:
+    """The stored keys of a table, beside its batches; readers of the table do not see it."""
+    return KeyHistory(spark, f"{path}/_keys", key, kind)
+
+
+def start_store(existing: DataFrame, path: str, key: str) -> None:
+    """Write what is stored already, as the batch before the first, and its keys."""
     write_table(existing, path, STORE)
+    _history(existing.sparkSession, path, key, existing.schema[key].dataType).start(existing)
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -58,7 +65,8 @@ def stream_insert_if_absent(
     checkpoint: str,
     after: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """First write wins over all batches and the store written by ``start_store``.
+    """First write wins over all batches and the store written by ``start_store``. A batch
+    reads the stored keys that its own may meet (see ``history``).
 
     ``after`` gets the new rows of each batch, read back from what was committed.
     """
@@ -66,12 +74,14 @@ def stream_insert_if_absent(
 
     def write(batch: DataFrame, no: int) -> None:
         spark = batch.sparkSession
-        # Only the key column of earlier batches is read.
-        stored = spark.read.schema(f"`{key}` {schema[key].dataType.simpleString()}, batch int")
-        earlier = stored.parquet(path).filter(F.col("batch") < no)
+        history = _history(spark, path, key, schema[key].dataType)
+        history.roll_up(no)
+        earlier = history.before(no, batch)
         write_table(insert_if_absent(earlier, batch, key, seq), path, no)
+        new = spark.read.schema(schema).parquet(f"{path}/batch={no}")
+        history.add(new, no)
         if after is not None:
-            after(spark.read.schema(schema).parquet(f"{path}/batch={no}"), no)
+            after(new, no)
 
     return _run(stream, write, checkpoint)
 

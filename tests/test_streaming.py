@@ -34,7 +34,7 @@ def read(spark, path):
 def test_stream_equals_batch_and_survives_a_replay(spark):
     src, path, checkpoint, crashed = (runtime.new_dir(spark, n) for n in ("src", "out", "cp", "crash"))
     existing = spark.createDataFrame([(-1, "k0")], SCHEMA)
-    ingest.start_store(existing, path)
+    ingest.start_store(existing, path, "key")
     start = lambda cp: lambda stream: ingest.stream_insert_if_absent(stream, path, "key", ["seq"], cp)
     for rows in arrivals():
         land(spark, src, rows, start(checkpoint))
@@ -68,7 +68,7 @@ def test_dedupe_within_watermark(spark):
 def test_feed_of_a_batch(spark):
     src, path, checkpoint, feed = (runtime.new_dir(spark, n) for n in ("src", "out", "cp", "feed"))
     named = lambda df: df.withColumns({"token": F.col("key"), "md5": F.md5("key")})
-    ingest.start_store(named(spark.createDataFrame([], SCHEMA)), path)
+    ingest.start_store(named(spark.createDataFrame([], SCHEMA)), path, "md5")
     for rows in arrivals():
         land(spark, src, rows, lambda stream: ingest.stream_batch_feed(
             named(stream), path, "md5", ["seq"], checkpoint, feed, "B"))
