@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +28,26 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
 
 
+FAN = 64  # arrays that one task adds up
+
+
+def added_up(counted: DataFrame, key: str, add: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """One row per ``key`` from the rows of all tasks, by ``add`` of the rows of one group, in
+    rounds: no group holds the rows of more than FAN tasks, however many there are."""
+    tasks = counted.rdd.getNumPartitions()
+    rows = counted.withColumn("task", F.spark_partition_id())
+
+    def some(table: pa.Table) -> pa.Table:
+        task = table.column("task").slice(0, 1)
+        return add(table.drop_columns("task")).append_column("task", task)
+
+    while tasks > FAN:
+        tasks = -(-tasks // FAN)
+        rows = rows.withColumn("task", F.floor(F.col("task") / FAN).cast("int"))
+        rows = rows.groupBy(key, "task").applyInArrow(some, f"{schema}, task int")
+    return rows.drop("task").groupBy(key).applyInArrow(add, schema)
+
+
 def pinned(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with further columns, each computed once for a row.
 

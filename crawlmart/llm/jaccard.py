@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from crawlmart import runtime
 from crawlmart.llm import hashing
-from crawlmart.llm.common import shelved, small_batches
+from crawlmart.llm.common import added_up, shelved, small_batches
 from crawlmart.llm.graph import components
 
 SKETCH = 1 << 21  # counters of the order of rarity
@@ -123,17 +123,25 @@ def rarity(docs: DataFrame, join: Join) -> tuple[np.ndarray, int]:
     def add(rows: pa.Table) -> pa.Table:
         total = np.zeros(PART, np.int64)
         for raw in rows.column("counts"):
-            total += np.frombuffer(raw.as_py(), "<u2")
+            raw = raw.as_py()  # of a task, or a sum of some
+            total += np.frombuffer(raw, "<u2" if len(raw) == 2 * PART else "<i8")
         size = pa.array([sum(rows.column("n").to_pylist())], pa.int64())
         return pa.table(
-            [rows.column("part").slice(0, 1), pa.array([classes(total).tobytes()], pa.binary()), size],
+            [rows.column("part").slice(0, 1), pa.array([total.astype("<i8").tobytes()], pa.binary()), size],
             ["part", "counts", "n"],
         )
 
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [classes(np.frombuffer(x.as_py(), "<i8")).tobytes() for x in batch.column("counts")]
+            yield batch.set_column(1, "counts", pa.array(raw, pa.binary()))
+
     schema = "part int, counts binary, n long"
     counted = docs.select("text").mapInArrow(count, schema)
     out, n = np.zeros(SKETCH, np.uint8), 0
-    for row in counted.groupBy("part").applyInArrow(add, schema).collect():
+    summed = added_up(counted, "part", add, schema)
+    squeezed = summed.mapInArrow(squeeze, schema)
+    for row in squeezed.collect():
         at = row["part"] * PART
         out[at : at + PART] = np.frombuffer(row["counts"], np.uint8)
         n += row["n"]

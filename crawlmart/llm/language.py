@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlmart.llm import hashing
-from crawlmart.llm.common import small_batches
+from crawlmart.llm.common import added_up, small_batches
 
 UNKNOWN = "und"
 SPACE = 32
@@ -140,7 +140,7 @@ def train(rows: DataFrame, grams: Grams = Grams()) -> Model:
         )
 
     schema = "lang string, docs long, counts binary"
-    counted = rows.mapInArrow(count, schema).groupBy("lang").applyInArrow(add, schema)
+    counted = added_up(rows.mapInArrow(count, schema), "lang", add, schema)
     got = counted.limit(grams.max_languages + 1).collect()
     if len(got) > grams.max_languages:
         raise ValueError(f"more than {grams.max_languages} languages to learn")
