@@ -31,9 +31,16 @@ def words_of(text: Column) -> Column:
 FAN = 64  # arrays that one task adds up
 
 
-def added_up(counted: DataFrame, key: str, add: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+def added_up(
+    counted: DataFrame,
+    key: str,
+    add: Callable[[pa.Table], pa.Table],
+    schema: str,
+    last: Callable[[pa.Table], pa.Table] = lambda table: table,
+) -> DataFrame:
     """One row per ``key`` from the rows of all tasks, by ``add`` of the rows of one group, in
-    rounds: no group holds the rows of more than FAN tasks, however many there are."""
+    rounds: no group holds the rows of more than FAN tasks, however many there are. ``last``
+    changes the sums, in the same Python worker as the last round."""
     tasks = counted.rdd.getNumPartitions()
     rows = counted.withColumn("task", F.spark_partition_id())
 
@@ -45,7 +52,7 @@ def added_up(counted: DataFrame, key: str, add: Callable[[pa.Table], pa.Table],
         tasks = -(-tasks // FAN)
         rows = rows.withColumn("task", F.floor(F.col("task") / FAN).cast("int"))
         rows = rows.groupBy(key, "task").applyInArrow(some, f"{schema}, task int")
-    return rows.drop("task").groupBy(key).applyInArrow(add, schema)
+    return rows.drop("task").groupBy(key).applyInArrow(lambda table: last(add(table)), schema)
 
 
 def pinned(df: DataFrame, **columns: Column) -> DataFrame:

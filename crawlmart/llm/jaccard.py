@@ -131,17 +131,14 @@ def rarity(docs: DataFrame, join: Join) -> tuple[np.ndarray, int]:
             ["part", "counts", "n"],
         )
 
-    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = [classes(np.frombuffer(x.as_py(), "<i8")).tobytes() for x in batch.column("counts")]
-            yield batch.set_column(1, "counts", pa.array(raw, pa.binary()))
+    def squeeze(rows: pa.Table) -> pa.Table:
+        raw = [classes(np.frombuffer(x.as_py(), "<i8")).tobytes() for x in rows.column("counts")]
+        return rows.set_column(1, "counts", pa.array(raw, pa.binary()))
 
     schema = "part int, counts binary, n long"
     counted = docs.select("text").mapInArrow(count, schema)
     out, n = np.zeros(SKETCH, np.uint8), 0
-    summed = added_up(counted, "part", add, schema)
-    squeezed = summed.mapInArrow(squeeze, schema)
-    for row in squeezed.collect():
+    for row in added_up(counted, "part", add, schema, squeeze).collect():
         at = row["part"] * PART
         out[at : at + PART] = np.frombuffer(row["counts"], np.uint8)
         n += row["n"]
