@@ -9,7 +9,8 @@ candidates; their members, the different sets of a group, are compared in full.
 Exact and near copies can be many, so candidates are never all pairs of a run of groups with
 one shingle. A short run gives all its pairs. A long run first gives links to its two most
 central groups and to random neighbours. When those are verified and joined to components,
-only pairs between different components of a run are left, and these are all verified.
+only pairs between different components of a run are left, and these are all verified;
+a run of very many sets is compared by pairs of blocks, each in a place of its own.
 
 The order of rarity comes from a table of counts of fixed size; it decides how many
 candidates there are, never which links are found. Sets are known by 64-bit hashes, shingles
@@ -21,13 +22,14 @@ with each other; a component's id is its smallest non-null doc_id; further colum
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlmart import runtime
@@ -41,6 +43,7 @@ LOT = 1 << 19  # bytes of text that are hashed together
 WAITING = 1 << 19  # shingles that are counted together
 BUCKET = 1 << 19  # prefix shingles in one bucket, about
 SMALL = 8  # a run of so many groups gives all its pairs
+STEP = 1 << 20  # pairs that are compared at once
 BITS = 1 << 24  # of the filter on sets that take part in a candidate
 CLASSES = 512  # of shingles, counted for each set that takes part in a candidate
 SEEN = 500_000  # sets that a task remembers, so as not to send them again
@@ -52,6 +55,7 @@ class Join:
     words: int = 5  # of a shingle
     num: int = 75  # linked when den * intersection >= num * union
     den: int = 100
+    block: int = 1 << 11  # sets of a run that one task compares with as many others
 
     def prefix(self, n: int) -> int:
         return n - -(-self.num * n // self.den) + 1
@@ -382,42 +386,140 @@ def _unique_pairs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def cross_pairs(runs: DataFrame, n_buckets: int, join: Join) -> DataFrame:
     """Pairs (a, b) of sets of one run that lie in different components.
 
-    ``runs``: run, c, n, place, root. Runs inside one component are gone before the shuffle
-    of their members.
+    ``runs``: run, c, n, place, root. Of a run inside one component, and of sets that could not
+    even be linked with the smallest set of their run, nothing is moved. A run of up to
+    ``join.block`` sets is compared in one place. A longer one is cut into blocks of sets of like
+    sizes, and pairs of blocks that may hold a link are compared apart from each other, so no
+    task holds more than two blocks of a run.
     """
-    mixed = runs.groupBy("run").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    left = runs.join(mixed.filter("low < high").select("run"), "run")
-    left = left.withColumn("bucket", F.pmod(F.xxhash64("run"), F.lit(n_buckets)))
-
-    def run(table: pa.Table) -> pa.Table:
+    runs = runtime.materialize(runs, "runs")
+    mixed = runs.groupBy("run").agg(
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.min("n").alias("least"),
+        F.count(F.lit(1)).alias("k"),
+    )
+    # Written, so that the join knows its size, and deals out a hot run if it is not small.
+    mixed = runtime.materialize(mixed.filter("low < high").select("run", "least", "k"), "mixed")
+    left = runs.join(mixed, "run")
+    other = F.greatest("least", _at_least(F.col("n") * join.num, join.den))
+    left = left.filter(F.col("n") - F.col("place") >= _overlap(F.col("n") + other, join))
+    columns = ["c", "n", "place", "root"]
+
+    def inside(table: pa.Table) -> pa.Table:
         names = ("run", "root", "c", "n", "place")
         token, root, c, n, place = (table.column(x).to_numpy() for x in names)
-        # Who cannot be linked with the smallest that fits it can be linked with none.
-        _, of = np.unique(token, return_inverse=True)
-        least = np.full(of.max(initial=-1) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, of, n)
-        other = np.maximum(least[of], -(-join.num * n // join.den))
-        order = np.flatnonzero(n - place >= join.overlap(n + other))
-        order = order[np.lexsort((c[order], root[order], token[order]))]
+        order = np.lexsort((c, root, token))
         token, root, c, n, place = (x[order] for x in (token, root, c, n, place))
-        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        found = _Pairs()
         starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])[: len(token)])
         for low, high in zip(starts, np.append(starts[1:], len(token)), strict=True):
-            blocks = low + np.flatnonzero(np.append(True, root[low + 1 : high] != root[low : high - 1]))
-            for x, y in zip(blocks[:-1], blocks[1:], strict=True):
-                step = max(1, (1 << 20) // (high - y))
-                for z in range(x, y, step):  # a block against all that follow it
-                    i = np.repeat(np.arange(z, min(z + step, y)), high - y)
-                    j = np.tile(np.arange(y, high), min(z + step, y) - z)
-                    ok = _near(n[i], n[j], place[i], place[j], join)
-                    p, q = c[i[ok]], c[j[ok]]
-                    a, b = np.append(a, np.minimum(p, q)), np.append(b, np.maximum(p, q))
-                    if len(a) > 1 << 20:
-                        a, b = _unique_pairs(a, b)
-        a, b = _unique_pairs(a, b)
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return left.groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
+            roots = low + np.flatnonzero(np.append(True, root[low + 1 : high] != root[low : high - 1]))
+            for x, y in zip(roots[:-1], roots[1:], strict=True):  # a root against all that follow
+                found.compare(np.arange(x, y), np.arange(y, high), (c, n, place, root), join)
+        return found.table()
+
+    def across(table: pa.Table) -> pa.Table:
+        sets = tuple(table.column(x).to_numpy() for x in columns)
+        side = table.column("side").to_numpy()
+        found = _Pairs()
+        one, two = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        found.compare(one, two, sets, join)
+        return found.table()
+
+    short = left.filter(F.col("k") <= join.block).drop("k", "least")
+    short = short.withColumn("bucket", F.pmod(F.xxhash64("run"), F.lit(n_buckets)))
+    pairs = short.groupBy("bucket").applyInArrow(inside, "a long, b long")
+    if not mixed.filter(F.col("k") > join.block).isEmpty():
+        long = left.filter(F.col("k") > join.block).drop("k", "least")
+        cells = _cells(long, join)
+        pairs = pairs.unionByName(
+            cells.groupBy("run", "x", "y").applyInArrow(across, "a long, b long")
+        )
+    return pairs.distinct()
+
+
+def _cells(long: DataFrame, join: Join) -> DataFrame:
+    """The rows of ``long`` once for each pair of blocks (x, y) of their run that their block
+    belongs to: side 0 for the rows of x, 1 for those of y, 2 where x is y.
+
+    Sizes of one band differ by less than a link allows, so most pairs of blocks of far bands
+    are barred by the bounds of their sizes. Blocks are known by a number per run that follows
+    from counts, not from the order of rows."""
+    ratio = max(join.den / join.num, 1.05)  # bands only make the bounds narrow
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(ratio)).cast("int")
+    long = long.withColumn("band", band)
+    parts = long.groupBy("run", "band").agg(_at_least(F.count(F.lit(1)), join.block).alias("parts"))
+    part = F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")
+    long = long.join(runtime.materialize(parts, "parts"), ["run", "band"])
+    long = long.withColumn("block", F.shiftleft(F.col("band").cast("long"), 32) + part)
+    long = runtime.materialize(long.drop("band", "parts"), "blocks")
+    room = F.col("n") - F.col("place")
+    bounds = long.groupBy("run", "block").agg(
+        F.min("n").alias("n0"),
+        F.max("n").alias("n1"),
+        F.max(room).alias("room"),
+        F.min("root").alias("r0"),
+        F.max("root").alias("r1"),
+    )
+    bounds = runtime.materialize(bounds, "bounds")
+    x = bounds.select("run", *[F.col(c).alias(f"x_{c}") for c in bounds.columns[1:]])
+    y = bounds.select("run", *[F.col(c).alias(f"y_{c}") for c in bounds.columns[1:]])
+    may = (
+        (F.col("x_block") <= F.col("y_block"))
+        & (F.col("x_n1") * join.den >= F.col("y_n0") * join.num)
+        & (F.col("y_n1") * join.den >= F.col("x_n0") * join.num)
+        & (F.least("x_room", "y_room") >= _overlap(F.col("x_n0") + F.col("y_n0"), join))
+        & (F.least("x_r0", "y_r0") < F.greatest("x_r1", "y_r1"))
+    )
+    blocks = (F.col("x_block").alias("x"), F.col("y_block").alias("y"))
+    met = x.join(y, "run").filter(may).select("run", *blocks)
+    one, two, both = (
+        F.struct(F.col(name).alias("block"), F.lit(side).alias("side"))
+        for name, side in (("x", 0), ("y", 1), ("x", 2))
+    )
+    sides = F.when(F.col("x") == F.col("y"), F.array(both)).otherwise(F.array(one, two))
+    met = runtime.materialize(met.select("run", "x", "y", F.inline(sides)), "cells")
+    return long.join(met, ["run", "block"]).select("run", "x", "y", "side", "c", "n", "place", "root")
+
+
+def _at_least(total: Column, by: int) -> Column:
+    """total / by, rounded up, in whole numbers."""
+    return F.floor((total + (by - 1)) / by)
+
+
+def _overlap(total: Column, join: Join) -> Column:
+    return _at_least(total * join.num, join.num + join.den)
+
+
+class _Pairs:
+    """Different pairs of sets that may be linked, gathered step by step."""
+
+    def __init__(self):
+        self.a, self.b, self.new, self.waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+
+    def compare(self, one: np.ndarray, two: np.ndarray, sets: tuple, join: Join) -> None:
+        """Rows ``one`` against rows ``two`` of (c, n, place, root), STEP pairs at a time."""
+        c, n, place, root = sets
+        step = max(1, STEP // max(1, len(two)))
+        for z in range(0, len(one), step):
+            i = np.repeat(one[z : z + step], len(two))
+            j = np.tile(two, len(one[z : z + step]))
+            ok = (root[i] != root[j]) & _near(n[i], n[j], place[i], place[j], join)
+            p, q = c[i[ok]], c[j[ok]]
+            self.new.append((np.minimum(p, q), np.maximum(p, q)))
+            self.waiting += len(p)
+            if self.waiting > max(STEP, len(self.a)):  # sorted when they have doubled
+                self.settle()
+
+    def settle(self) -> None:
+        a, b = (np.concatenate([x, *y]) for x, y in zip((self.a, self.b), zip(*self.new), strict=True))
+        (self.a, self.b), self.new, self.waiting = _unique_pairs(a, b), [], 0
+
+    def table(self) -> pa.Table:
+        if self.new:
+            self.settle()
+        return pa.table([pa.array(self.a, pa.int64()), pa.array(self.b, pa.int64())], ["a", "b"])
 
 
 # -- verification ----------------------------------------------------------------------
