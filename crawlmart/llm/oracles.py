@@ -46,8 +46,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 
 
 def _secret_scan() -> str:
-    # No lookaround here: a run of exactly 40 characters is a whole run of that length.
-    run = "[A-Za-z0-9+/]+"
+    # No lookaround here: a secret is the part of a run with dots that lies before the first.
+    run, secret = "[A-Za-z0-9+/_.-]+={0,2}", "^[A-Za-z0-9+/_-]{20,}={0,2}"
     parts, linked = [], []
     for rank, kind in enumerate(secrets.KINDS, 1):
         pattern = run if kind.name == "secret" else kind.pattern
@@ -55,18 +55,20 @@ def _secret_scan() -> str:
         ok = f"length(m[i]) >= {kind.least}"
         if kind.group:
             ok = f"length(regexp_extract(m[i], '{quoted}', 1)) >= {kind.least}"
+        value = "m[i]"
         if kind.name == "secret":
-            ok = "length(m[i]) = 40 AND " + " AND ".join(
-                f"regexp_matches(m[i], '{c}')" for c in ("[A-Z]", "[a-z]", "[0-9]")
+            value = f"regexp_extract(m[i], '{secret}')"
+            ok = f"NOT starts_with(m[i], '//') AND length({value}) >= {kind.least} AND " + " AND ".join(
+                f"regexp_matches({value}, '{c}')" for c in ("[A-Z]", "[a-z]", "[0-9]")
             )
         parts.append(f"""
-  SELECT r, {rank} AS rank, '{kind.name}' AS kind, p AS start, p + length(m[i]) AS stop FROM (
+  SELECT r, {rank} AS rank, '{kind.name}' AS kind, p AS start, p + length({value}) AS stop FROM (
     SELECT r, i, m, list_sum([length(x) FOR x IN g[1:i]]) + coalesce(list_sum([length(x) FOR x IN m[1:i - 1]]), 0) AS p
     FROM (SELECT r, m, g, unnest(range(1, len(m) + 1)) AS i FROM (
       SELECT r, regexp_extract_all(text, '{quoted}') AS m, string_split_regex(text, '{quoted}') AS g FROM d)))
   WHERE {ok}""")
         near = [
-            f"EXISTS (SELECT 1 FROM s p WHERE p.r = s.r AND abs(p.start - s.start) <= {secrets.SCOPE} "
+            f"EXISTS (SELECT 1 FROM s p WHERE p.r = s.r AND greatest(p.start, s.start) - least(p.stop, s.stop) <= {secrets.SCOPE} "
             f"AND p.kind IN ({', '.join(repr(k) for k in some)}))"
             for some in kind.needs
         ]

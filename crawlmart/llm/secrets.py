@@ -32,7 +32,7 @@ class Kind:
 
 
 VALUE = r"[A-Za-z0-9+/_.=-]+"
-RUN = r"[A-Za-z0-9+/]"
+RUN = r"[A-Za-z0-9+/_-]"
 IDENT, SECRET = ("access", "ident"), ("secret", "hex", "assign")
 KINDS = (
     Kind(
@@ -51,8 +51,9 @@ KINDS = (
     ),
     Kind(
         "secret",
-        rf"(?<!{RUN})(?={RUN}*[A-Z])(?={RUN}*[a-z])(?={RUN}*[0-9]){RUN}{{40}}(?!{RUN})",
-        40,
+        # Not behind a dot, and no "//": those are hosts, files and their paths.
+        rf"(?<![A-Za-z0-9+/_.-])(?!//)(?={RUN}*[A-Z])(?={RUN}*[a-z])(?={RUN}*[0-9]){RUN}{{20,}}={{0,2}}",
+        20,
         needs=(IDENT,),
     ),
     Kind(
@@ -63,7 +64,7 @@ KINDS = (
     ),
 )
 BASE = tuple(k.name for k in KINDS if not k.needs)
-SCOPE = 400  # code points between the starts of parts that belong together
+SCOPE = 400  # code points between the end of a part and the start of one that belongs to it
 
 
 def _hits(text: Column, kind: Kind) -> Column:
@@ -104,15 +105,23 @@ def spans(docs: DataFrame) -> DataFrame:
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """The weak spans whose complementary parts stand within ``scope``.
 
-    A part lies in one bin of the width of the scope, a weak span looks into three. A bin
-    holds few spans, as spans of a kind do not overlap, so no bin is hot."""
+    Parts lie in all bins of the width of the scope that they touch, a weak span looks into
+    those that it and the scope around it touch. A bin holds few spans, as spans of a kind do
+    not overlap, so no bin is hot, and a text gives no more bins than its length over scope."""
     weak = found.filter(~F.col("kind").isin(*BASE))
-    at = F.floor(F.col("start") / scope)
-    looks = weak.withColumn("bin", F.explode(F.array(at - 1, at, at + 1)))
+
+    def bins(low: Column, high: Column) -> Column:
+        return F.explode(F.sequence(F.floor(low / scope), F.floor(high / scope)))
+
+    looks = weak.withColumn("bin", bins(F.col("start") - scope, F.col("end") + scope))
     parts = found.select(
-        F.col("key"), at.alias("bin"), F.col("kind").alias("part"), F.col("start").alias("there")
+        F.col("key"),
+        bins(F.col("start"), F.col("end")).alias("bin"),
+        F.col("kind").alias("part"),
+        F.col("start").alias("from"),
+        F.col("end").alias("to"),
     )
-    near = F.abs(F.col("start") - F.col("there")) <= scope
+    near = F.greatest("start", "from") - F.least("end", "to") <= scope
     pairs = looks.join(parts, ["key", "bin"]).filter(near)
     by = pairs.groupBy("key", "kind", "start", "end").agg(F.collect_set("part").alias("parts"))
     enough = F.lit(False)
