@@ -176,6 +176,27 @@ def fetchable(queue: DataFrame, responses: DataFrame, done: DataFrame) -> DataFr
     return keyed.dequeue(keyed.dead_links(queue, responses, "slug"), done)
 
 
+def ingest_queue(
+    queue: DataFrame,
+    statuses: DataFrame,
+    post_responses: DataFrame,
+    column_responses: DataFrame,
+    store: Store,
+    base: str,
+    at: Column | str | None = None,
+) -> tuple[Load, DataFrame]:
+    """Full load of a queue of columns, and what is left of the queue: columns that answered
+    neither with a body nor with 404 are asked again in the next run. ``statuses`` has slug and
+    status of the columns' responses; a slug may have several, and then one 404 removes it.
+    Posts of columns that did not answer are loaded without a column."""
+    answered = statuses.filter(F.col("status") == 200).select("slug").distinct()
+    slug = keys.column_from_api_url(F.col("url"))
+    bodies = column_responses.withColumn("slug", slug).join(answered, "slug", "left_semi").drop("slug")
+    load = ingest_articles(post_responses, bodies, store, base, at)
+    done = store.columns.select("slug").unionByName(load.columns.select("slug")).distinct()
+    return load, fetchable(queue, statuses, done)
+
+
 def ingest_single_articles(
     pages: DataFrame,
     column_responses: DataFrame,

@@ -12,6 +12,7 @@ from crawlmart.functions import keys
 from crawlmart.operators import extract, keyed, paging
 from crawlmart.operators.extract import SEQ
 from crawlmart.operators.frontier import expand_frontier
+from crawlmart.operators.seen import SeenKeys, seen_keys
 
 MEMBER = "/members/([^/?]+)/"
 
@@ -102,6 +103,40 @@ def crawl_follow_graph(
     return fresh, keyed.mark_done(users.unionByName(fresh), done, "crawl_follow"), rejects
 
 
+def finished_users(users: DataFrame, flag: str) -> SeenKeys:
+    """The users that a crawl by ``flag`` has nothing to do for, behind a Bloom filter."""
+    waiting = keyed.pending(users, flag).select("slug")
+    return seen_keys(users.select("slug").join(waiting, "slug", "left_anti"), "slug")
+
+
+def unseen_responses(responses: DataFrame, finished: SeenKeys) -> DataFrame:
+    """Responses whose address is not one of a finished user's."""
+    rows = responses.withColumn(finished.key, F.regexp_extract("url", MEMBER, 1))
+    return finished.unseen(rows, ["resp_seq"]).drop(finished.key)
+
+
+def resume_follow_crawl(
+    users: DataFrame, responses: DataFrame, at: Column | str | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``crawl_follow_graph`` after earlier runs, whose user snapshot ``users`` is:
+    ``responses`` may hold all that was ever fetched, and the bodies of users that earlier
+    runs have finished are not parsed. A chain stays at its own user's addresses."""
+    rest = unseen_responses(responses, finished_users(users, "crawl_follow"))
+    return crawl_follow_graph(users, rest, at)
+
+
+def resume_discovery(
+    users: DataFrame,
+    responses: DataFrame,
+    known: DataFrame,
+    queue: DataFrame,
+    at: Column | str | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``discover_columns`` after earlier runs, in the same way."""
+    rest = unseen_responses(responses, finished_users(users, "crawl_column"))
+    return discover_columns(users, rest, known, queue, at)
+
+
 def _new_random_columns(
     found: DataFrame, known: DataFrame, queue: DataFrame, at: Column | str | None
 ) -> DataFrame:

@@ -548,6 +548,18 @@ SELECT id, slug, 'Stored ' || user_id AS name,
 FROM stored_users
 UNION ALL
 SELECT id, 'u' || no, name, no IN (SELECT no FROM done), false FROM fresh""",
+    "crawl_follow_graph_resumed": f"""{FOLLOWS}{FOLLOW_CRAWL}
+SELECT slug, CASE WHEN user_id IN (SELECT no FROM done) THEN true ELSE crawl_follow END AS crawl_follow,
+       crawl_column
+FROM stored_users
+UNION ALL
+SELECT 'u' || no, no IN (SELECT no FROM done), false FROM fresh""",
+    "unseen_responses": f"""{FOLLOWS}
+SELECT DISTINCT resp_seq FROM items JOIN users USING (user_id) WHERE crawl_follow = false""",
+    "ingest_articles_queue": f"""{POSTS}{E1_COLUMNS}
+SELECT source AS slug FROM sources
+WHERE src_no % 9 <> 4 AND src_no % 4 <> 0
+  AND (src_no % 11 = 7 OR source NOT IN (SELECT source FROM fresh_columns))""",
     "crawl_follow_graph_rejects": f"""{FOLLOWS}{FOLLOW_CRAWL}
 SELECT DISTINCT resp_seq, 'broken_body' AS reject_reason FROM items
 WHERE rn < 20 AND user_id % 4 = 0 AND user_id NOT IN (SELECT user_id FROM idle)""",

@@ -888,6 +888,25 @@ def crawl_follow_graph(spark, sf):
     return users.select("id", "slug", "name", "crawl_follow", "crawl_column")
 
 
+@query
+def crawl_follow_graph_resumed(spark, sf):
+    """Two runs equal one: by the first, the pages of half of the users were fetched."""
+    responses = sample.follow_responses(spark, sf)
+    member = F.xxhash64(F.regexp_extract("url", crawls.MEMBER, 1))
+    early = responses.filter(member % 2 == 0)
+    _, users, _ = crawls.crawl_follow_graph(sample.stored_users(spark, sf), early, AT)
+    users = runtime.materialize(users, "run")
+    _, users, _ = crawls.resume_follow_crawl(users, responses, AT)
+    return users.select("slug", "crawl_follow", "crawl_column")
+
+
+@query
+def unseen_responses(spark, sf):
+    """The follow pages of users for whom a crawl has something to do."""
+    finished = crawls.finished_users(sample.users(spark, sf), "crawl_follow")
+    return crawls.unseen_responses(sample.follow_responses(spark, sf), finished).select("resp_seq")
+
+
 @query
 def discover_columns(spark, sf):
     fresh, _, _ = crawls.discover_columns(
@@ -930,6 +949,16 @@ def ingest_articles_rejects(spark, sf):
     return load.rejects.select("resp_seq", "reject_reason")
 
 
+@query
+def ingest_articles_queue(spark, sf):
+    """What a load leaves in the queue: columns that did not answer."""
+    _, left = articles.ingest_queue(
+        sample.column_queue(spark, sf), sample.column_statuses(spark, sf),
+        sample.post_responses(spark, sf), sample.column_responses(spark, sf), store(spark, sf), BASE, AT,
+    )
+    return left
+
+
 def _stored(spark, sf):
     known = runtime.materialize(sample.known_columns(spark, sf), "known")
     return articles.store_load(_ingest(spark, sf), known, runtime.new_dir(spark, "star"), 0, BASE)

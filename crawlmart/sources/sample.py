@@ -168,6 +168,13 @@ def column_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def column_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statuses of the column API: some sources are gone, some do not answer."""
+    no = F.col("src_no")
+    status = F.when(no % 9 == 4, 404).when(no % 11 == 7, 503).otherwise(200)
+    return _sources(spark, sf_dir).select(F.col("source").alias("slug"), status.alias("status"))
+
+
 def recommendation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lists of recommended columns, 13 sources each; an item of every list has no slug."""
     item = F.struct(
