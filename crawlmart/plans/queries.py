@@ -705,12 +705,12 @@ def stream_dedupe(spark, sf):
 
 @query
 def append_batches_commits(spark, sf):
-    """Rows of the largest file: the commit size."""
+    """Rows of the largest commit: the commit size."""
     path = runtime.new_dir(spark, "appended")
     _land(spark, sf, lambda stream, cp: ingest.append_batches(stream, path, cp, COMMIT))
-    rows = ingest.read_batches(spark, path, sample.event_items(spark, sf).schema)
-    files = rows.groupBy("batch", F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
-    return files.groupBy("batch").agg(F.sum("n").alias("n_rows"), F.max("n").alias("most"))
+    rows = ingest.read_batches(spark, path, sample.event_items(spark, sf).schema, in_commits=True)
+    made = rows.groupBy("batch", "commit").agg(F.count(F.lit(1)).alias("n"))
+    return made.groupBy("batch").agg(F.sum("n").alias("n_rows"), F.max("n").alias("most"))
 
 
 @query

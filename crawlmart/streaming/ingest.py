@@ -15,7 +15,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from crawlmart.operators.keyed import insert_if_absent
 from crawlmart.operators.summaries import new_article_feed
-from crawlmart.sources.tables import write_table
+from crawlmart.sources.tables import COMMIT, write_table
 from crawlmart.streaming.history import KeyHistory
 
 STORE = -1
@@ -44,16 +44,19 @@ def start_store(existing: DataFrame, path: str, key: str) -> None:
     _history(existing.sparkSession, path, key, existing.schema[key].dataType).start(existing)
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All batches of a table, with their number."""
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, in_commits: bool = False
+) -> DataFrame:
+    """All batches of a table, with their number, and that of the commit if they have any."""
+    more = [COMMIT] if in_commits else []
     batch = T.StructField("batch", T.IntegerType())
-    return spark.read.schema(T.StructType([*schema.fields, batch])).parquet(path)
+    return spark.read.schema(T.StructType([*schema.fields, *more, batch])).parquet(path)
 
 
 def append_batches(
     stream: DataFrame, path: str, checkpoint: str, items: int = 0
 ) -> StreamingQuery:
-    """Append every micro-batch, in files of at most ``items`` rows (0: no limit)."""
+    """Append every micro-batch, in commits of at most ``items`` rows (0: no commits)."""
     return _run(stream, lambda batch, no: write_table(batch, path, no, items), checkpoint)
 
 

@@ -75,3 +75,22 @@ def test_feed_of_a_batch(spark):
     rows = spark.read.schema("n_new int, links string, batch int").parquet(feed).orderBy("batch").collect()
     assert [r.n_new for r in rows] == [2, 2, 2, 1]
     assert rows[0].links == "B/article/k3\nB/article/k1"
+
+
+def test_commits_lie_together_in_few_files(spark):
+    """Two thousand commits are no two thousand files."""
+    src, path, checkpoint = (runtime.new_dir(spark, n) for n in ("src", "out", "cp"))
+    rows = spark.range(20_003).select(F.col("id").alias("seq"), F.concat(F.lit("k"), "id").alias("key"))
+    rows.repartition(3).write.parquet(src)
+    stream = spark.readStream.schema(SCHEMA).parquet(src)
+    ingest.append_batches(stream, path, checkpoint, 10).awaitTermination()
+    assert len(list(Path(path.removeprefix("file:")).glob("batch=0/*.parquet"))) <= 3
+    schema = spark.createDataFrame([], SCHEMA).schema
+    stored = ingest.read_batches(spark, path, schema, in_commits=True)
+    assert sorted(r.seq for r in stored.select("seq").collect()) == list(range(20_003))
+    placed = stored.select("commit", F.input_file_name().alias("file"))
+    made = placed.groupBy("commit").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("file").alias("files")).collect()
+    assert {r.files for r in made} == {1}
+    assert max(r.n for r in made) == 10
+    assert sum(r.n < 10 for r in made) <= 3  # the last one of each task
+    assert ingest.read_batches(spark, path, schema).columns == ["seq", "key", "batch"]
