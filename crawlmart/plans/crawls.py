@@ -120,8 +120,10 @@ def resume_follow_crawl(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``crawl_follow_graph`` after earlier runs, whose user snapshot ``users`` is:
     ``responses`` may hold all that was ever fetched, and the bodies of users that earlier
-    runs have finished are not parsed. A chain stays at its own user's addresses."""
+    runs have finished are not parsed. A chain stays at its own user's addresses. The rest is
+    written, as a crawl reads it several times and it is found by a filter and a join."""
     rest = unseen_responses(responses, finished_users(users, "crawl_follow"))
+    rest = runtime.materialize(rest, "rest")
     return crawl_follow_graph(users, rest, at)
 
 
@@ -134,6 +136,7 @@ def resume_discovery(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``discover_columns`` after earlier runs, in the same way."""
     rest = unseen_responses(responses, finished_users(users, "crawl_column"))
+    rest = runtime.materialize(rest, "rest")
     return discover_columns(users, rest, known, queue, at)
 
 

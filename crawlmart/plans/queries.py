@@ -880,21 +880,25 @@ def ingest_incremental_columns(spark, sf):
     return rows.select("slug", text_of("last_update_time").alias("last_update"))
 
 
+def _follow_inputs(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Stored users and fetched pages as the written tables that a crawl reads several times."""
+    users = runtime.materialize(sample.stored_users(spark, sf), "users")
+    return users, runtime.materialize(sample.follow_responses(spark, sf), "responses")
+
+
 @query
 def crawl_follow_graph(spark, sf):
-    _, users, _ = crawls.crawl_follow_graph(
-        sample.stored_users(spark, sf), sample.follow_responses(spark, sf), AT
-    )
+    _, users, _ = crawls.crawl_follow_graph(*_follow_inputs(spark, sf), AT)
     return users.select("id", "slug", "name", "crawl_follow", "crawl_column")
 
 
 @query
 def crawl_follow_graph_resumed(spark, sf):
     """Two runs equal one: by the first, the pages of half of the users were fetched."""
-    responses = sample.follow_responses(spark, sf)
+    stored, responses = _follow_inputs(spark, sf)
     member = F.xxhash64(F.regexp_extract("url", crawls.MEMBER, 1))
     early = responses.filter(member % 2 == 0)
-    _, users, _ = crawls.crawl_follow_graph(sample.stored_users(spark, sf), early, AT)
+    _, users, _ = crawls.crawl_follow_graph(stored, early, AT)
     users = runtime.materialize(users, "run")
     _, users, _ = crawls.resume_follow_crawl(users, responses, AT)
     return users.select("slug", "crawl_follow", "crawl_column")
@@ -904,14 +908,16 @@ def crawl_follow_graph_resumed(spark, sf):
 def unseen_responses(spark, sf):
     """The follow pages of users for whom a crawl has something to do."""
     finished = crawls.finished_users(sample.users(spark, sf), "crawl_follow")
-    return crawls.unseen_responses(sample.follow_responses(spark, sf), finished).select("resp_seq")
+    responses = runtime.materialize(sample.follow_responses(spark, sf), "responses")
+    return crawls.unseen_responses(responses, finished).select("resp_seq")
 
 
 @query
 def discover_columns(spark, sf):
+    users = runtime.materialize(sample.users(spark, sf), "users")
+    responses = runtime.materialize(sample.user_column_responses(spark, sf), "responses")
     fresh, _, _ = crawls.discover_columns(
-        sample.users(spark, sf), sample.user_column_responses(spark, sf),
-        sample.known_user_columns(spark, sf), empty(spark, schemas.RANDOM_COLUMN), AT,
+        users, responses, sample.known_user_columns(spark, sf), empty(spark, schemas.RANDOM_COLUMN), AT,
     )
     return fresh.select("id", "slug", "link", "hash")
 
@@ -984,9 +990,8 @@ def ingest_articles_stored(spark, sf):
 
 @query
 def crawl_follow_graph_rejects(spark, sf):
-    *_, rejects = crawls.crawl_follow_graph(
-        sample.stored_users(spark, sf), _cut(sample.follow_responses(spark, sf), 4), AT
-    )
+    users, responses = _follow_inputs(spark, sf)
+    *_, rejects = crawls.crawl_follow_graph(users, _cut(responses, 4), AT)
     return rejects.select("resp_seq", "reject_reason")
 
 

@@ -4,12 +4,15 @@ import json
 import re
 from hashlib import md5
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from crawlmart import runtime, schemas
 from crawlmart.operators import paging, seen
 from crawlmart.plans import articles, crawls
+from crawlmart.plans.queries import QUERIES
 
 AT = "2024-05-06 07:08:09"
 
@@ -131,3 +134,32 @@ def test_a_queue_keeps_what_did_not_answer(spark):
     assert [r.slug for r in load.columns.collect()] == ["loaded"]
     assert load.articles.count() == 4
     assert sorted(r.slug for r in left.collect()) == ["empty", "silent"]
+
+
+def _events(tmp_path):
+    """Events of 40 users, each of whom follows some of the next."""
+    folder = tmp_path / "tables"
+    folder.mkdir()
+    rows = [(n, n % 40, json.dumps({"k": n * 7 % 23})) for n in range(300)]
+    table = {"event_id": [r[0] for r in rows], "user_id": [r[1] for r in rows], "props": [r[2] for r in rows]}
+    pq.write_table(pa.table(table), folder / "events.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["crawl_follow_graph_resumed", "crawl_follow_graph", "discover_columns", "unseen_responses"])
+def test_a_crawl_makes_its_pages_once(spark, tmp_path, monkeypatch, name):
+    """Of all that a query writes and returns one plan alone builds the bodies, and none but
+    those of a resumed crawl's rest and its alarms ask the filter."""
+    plans = []
+    real, counted = runtime.materialize, runtime.write_counted
+
+    def plan_of(df):
+        plans.append(df._jdf.queryExecution().analyzed().toString())
+        return df
+
+    monkeypatch.setattr(runtime, "materialize", lambda df, tag: real(plan_of(df), tag))
+    monkeypatch.setattr(runtime, "write_counted", lambda df, path: counted(plan_of(df), path))
+    plan_of(QUERIES[name](spark, _events(tmp_path))).collect()
+    assert sum("to_json" in plan for plan in plans) == 1
+    if name == "crawl_follow_graph_resumed":
+        assert sum("getbit" in plan for plan in plans) == 2
