@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlmart import runtime
+from crawlmart.operators import blocks
+
+# Levels of a large graph that take a round each; few graphs of people are deeper.
+LEVELS = 8
 
 
 class Bucketed:
@@ -58,33 +62,43 @@ def expand_frontier(
 ) -> DataFrame:
     """(user, depth) of every user reached from the seeds over ``src -> dst`` edges.
 
-    One round per level, until a round finds nobody new. Edges are deduplicated and written
-    once, in buckets of their source; sources with very many edges are split over several
-    buckets. Visited users lie in buckets too, a folder per level. So a level moves itself and
-    whom it leads to, and neither edges nor visited users; lineage stays short and a lost
-    executor repeats one level only.
+    Edges are deduplicated and written once. A graph of many edges takes one round per level
+    first: its edges lie in buckets of their source, sources with very many edges split over
+    several, and visited users in buckets too, a folder per level. So a level moves itself and
+    whom it leads to, and neither edges nor visited users. What lies deeper than ``LEVELS``
+    levels, and all of a graph that one task can hold, is walked in blocks, where a round takes
+    many levels. Lineage stays short; a lost executor repeats one round only.
     """
     spark = edges.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = runtime.materialize(
-        edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct(), "edges"
-    )
+    level = seeds.select(F.col("user")).filter(F.col("user").isNotNull()).distinct()
+    level = level.withColumn("depth", F.lit(0))
+    kind = level.schema["user"].dataType
+    links = edges.select(*[F.col(c).cast(kind).alias(c) for c in ("src", "dst")])
+    links = links.filter(F.col("src") != F.col("dst")).distinct()
+    path = runtime.new_dir(spark, "edges")
+    n_edges = runtime.write_counted(links, path)
+    edges = spark.read.schema(links.schema).parquet(path)
+    if n_edges <= blocks.EDGES_PER_BLOCK:
+        whole = edges.withColumn("salt", F.lit(0))
+        return blocks.walk(whole, n_edges, runtime.materialize(level, "seeds"), 0, max_depth)
+    schema = T.StructType([level.schema["user"], T.StructField("depth", T.IntegerType())])
     hot = runtime.materialize(runtime.hot_keys(edges, "src"), "hot")
     salt = F.pmod(F.xxhash64("dst"), F.coalesce("_salts", F.lit(1))).cast("int")
     graph = Bucketed(spark, "graph", ["src", "salt"], n)
     visited = Bucketed(spark, "visited", ["user"], n, part="depth")
     try:
         graph.append(edges.join(hot, "src", "left").select("src", "dst", salt.alias("salt")))
-        level = seeds.select(F.col("user")).filter(F.col("user").isNotNull()).distinct()
-        schema, depth = level.schema, 0
-        found = visited.append(level.withColumn("depth", F.lit(0)))
-        while found and (max_depth is None or depth < max_depth):
+        depth, found = 0, visited.append(level)
+        while found and depth < LEVELS and (max_depth is None or depth < max_depth):
             level = visited.read().filter(F.col("depth") == depth)
             depth += 1
             new = unseen(onward(graph.read(), level, hot, n), visited.read())
             found = visited.append(new.withColumn("depth", F.lit(depth)))
+        reached = spark.read.schema(schema).parquet(visited.path)
+        if not found or depth == max_depth:
+            return reached
+        return blocks.walk(graph.read(), n_edges, reached, depth, max_depth)
     finally:
         graph.drop()
         visited.drop()
-    with_depth = T.StructType([*schema.fields, T.StructField("depth", T.IntegerType())])
-    return spark.read.schema(with_depth).parquet(visited.path)
